@@ -75,3 +75,13 @@ def materialise(df: DataFrame) -> DataFrame:
 def at_most(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has no more than ``bound`` rows; stops counting beyond."""
     return df.limit(bound + 1).count() <= bound
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few files.
+
+    Costs a shuffle only where the input has fewer splits than the cluster has
+    cores, which also means that it is small.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

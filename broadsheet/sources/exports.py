@@ -8,7 +8,16 @@ from pyspark.sql import types as T
 
 from broadsheet.schema import ENRICHED_TYPES, OUTPUT_COLUMNS
 
-_CSV = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "", "encoding": "UTF-8"}
+# Spark's CSV writer trims texts and marks empty ones unless told otherwise.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "emptyValue": "",
+    "nullValue": "",
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def output_projection(df: DataFrame) -> DataFrame:
@@ -43,9 +52,14 @@ def write_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
     _write(with_json_arrays(df) if fmt == "csv" else df, path, fmt)
 
 
+def write_articles_csv(df: DataFrame, path: str) -> None:
+    """Write any flat table in the form the article reader expects."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
+
+
 def _write(df: DataFrame, path: str, fmt: str) -> None:
     if fmt == "csv":
-        df.write.mode("overwrite").options(**_CSV).csv(path)
+        write_articles_csv(df, path)
     elif fmt == "parquet":
         df.write.mode("overwrite").parquet(path)
     else:
