@@ -11,28 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import WS, strip
+from broadsheet.session import settled
+from broadsheet.functions.text import WORD_END, WORD_START, WS, strip
 
 # ---- fixed values: rates, currency signs, multipliers and accepted spellings ----
 USD_RATES = {"USD": 1.0, "GBP": 1.27, "EUR": 1.10, "JPY": 1 / 150}
 CURRENCY_SIGNS = {"$": "USD", "£": "GBP", "€": "EUR", "¥": "JPY"}  # in priority order
 MULTIPLIERS = {"billion": 1e9, "b": 1e9, "million": 1e6, "m": 1e6, "k": 1e3}
-NO_REVENUE = rf"(?iU)^(nan|null|n/?a|not{WS}+disclosed|none|--|)$"
+NO_REVENUE = rf"(?i)^(nan|null|n/?a|not{WS}+disclosed|none|--|)$"
 _CODE = "USD|EUR|GBP|JPY"
-_UNIT = "billion|million|[bBmMkK]"
+_UNIT = "billion|million|[bmk]"
 _AMOUNT = rf"([£€¥$]?[0-9,.]+(?:{WS}*(?:{_UNIT}))?(?:{WS}*(?:{_CODE}))?)"
-RANGE = rf"(?iU){_AMOUNT}{WS}*[-–to]+{WS}*{_AMOUNT}"
-FIRST_CODE = rf"(?isU)^(.*?){WS}*\b({_CODE})\b{WS}*(.*)$"
-NUMBER_WITH_UNIT = rf"(?iU)([0-9.]+){WS}*({_UNIT})\b"
+RANGE = rf"(?iu){_AMOUNT}{WS}*[-–to]+{WS}*{_AMOUNT}"
+FIRST_CODE = rf"(?isu)^(.*?){WS}*{WORD_START}({_CODE}){WORD_END}{WS}*(.*)$"
+NUMBER_WITH_UNIT = rf"(?iu)[0-9.]+{WS}*(?:{_UNIT}){WORD_END}"
 PLAIN_NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 # ---- end of fixed values ----
 
+# A cheap test without which the range pattern cannot match.
+_MAY_BE_RANGE = rf"[-–tToO]{WS}*[£€¥$]?[0-9,.]"
 
-def _pick(value: Column, table: dict[str, float], default: float) -> Column:
-    chosen = F
-    for key, number in table.items():
-        chosen = chosen.when(value == key, F.lit(float(number)))
-    return chosen.otherwise(F.lit(default))
+
+def _lookup(key: Column, table: dict[str, float]) -> Column:
+    """Value of a key, 1 when there is none.
+
+    A literal map compiles to far less code than a chain of conditions, and
+    only small methods get compiled to machine code.
+    """
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.coalesce(F.try_element_at(entries, key), F.lit(1.0))
 
 
 def _sign(text: Column) -> Column:
@@ -42,6 +49,14 @@ def _sign(text: Column) -> Column:
     return found
 
 
+def _has_code(text: Column) -> Column:
+    upper = F.upper(text)
+    found = F.lit(False)
+    for code in USD_RATES:
+        found = found | F.contains(upper, F.lit(code))
+    return found
+
+
 def _number(text: Column) -> Column:
     return F.coalesce(text.try_cast("double"), F.lit(0.0))
 
@@ -52,26 +67,31 @@ def with_revenue(df: DataFrame, source: str = "revenue", target: str = "revenue_
     Empty, missing and unreadable texts give 0.  A value beyond bigint also
     gives 0 and raises the flag.
     """
-    text, lo, hi = "_rev_text", "_rev_lo", "_rev_hi"
     raw = F.col(source).cast("string") if source in df.columns else F.lit(None).cast("string")
-    out = df.withColumns({text: F.coalesce(strip(raw), F.lit(""))})
-    out = out.withColumns({"_rev_none": F.col(text).rlike(NO_REVENUE)})
+    out = df.withColumns({"_rev_text": strip(raw)})
+    # A text that means "nothing" becomes null, and every later step skips it.
+    out = out.withColumns({"_rev_text": F.when(~F.col("_rev_text").rlike(NO_REVENUE), F.col("_rev_text"))})
+    out = out.withColumns({"_rev_ranged": F.when(F.col("_rev_text").rlike(_MAY_BE_RANGE), F.col("_rev_text"))})
     # Two ends of a range, else the whole text as the only end.
+    out = out.withColumns({f"_rev_g{g}": F.regexp_extract("_rev_ranged", RANGE, g) for g in (1, 2)})
+    is_range = F.col("_rev_g2") != ""
     out = out.withColumns(
         {
-            "_rev_first": F.regexp_extract(text, RANGE, 1),
-            hi: F.regexp_extract(text, RANGE, 2),
+            "_rev_lo": F.when(is_range, F.col("_rev_g1")).otherwise(F.col("_rev_text")),
+            "_rev_hi": F.when(is_range, F.col("_rev_g2")),
         }
-    ).withColumns({lo: F.when(F.col("_rev_first") != "", F.col("_rev_first")).otherwise(F.col(text))})
-
-    ends = [lo, hi]
+    )
+    ends = ["_rev_lo", "_rev_hi"]
     out = out.withColumns({f"{e}_sign": _sign(F.col(e)) for e in ends})
     out = out.withColumns(
         {
-            f"{e}_code": F.when(F.col(f"{e}_sign").isNull(), F.upper(F.regexp_extract(e, FIRST_CODE, 2)))
+            f"{e}_coded": F.when(F.col(f"{e}_sign").isNull() & _has_code(F.col(e)), F.col(e))
             for e in ends
         }
     )
+    out = out.withColumns(
+        {f"{e}_code": F.upper(F.regexp_extract(f"{e}_coded", FIRST_CODE, 2)) for e in ends}
+    )
     out = out.withColumns(
         {
             f"{e}_body": F.replace(
@@ -83,30 +103,21 @@ def with_revenue(df: DataFrame, source: str = "revenue", target: str = "revenue_
             for e in ends
         }
     )
+    out = out.withColumns({f"{e}_found": F.regexp_extract(f"{e}_body", NUMBER_WITH_UNIT, 0) for e in ends})
+    out = settled(out)
     out = out.withColumns(
-        {f"{e}_num": F.regexp_extract(f"{e}_body", NUMBER_WITH_UNIT, 1) for e in ends}
-        | {f"{e}_unit": F.lower(F.regexp_extract(f"{e}_body", NUMBER_WITH_UNIT, 2)) for e in ends}
-    )
-    out = out.withColumns(
-        {
-            f"{e}_usd": F.when(
-                F.col(f"{e}_unit") != "",
-                _number(F.col(f"{e}_num")) * _pick(F.col(f"{e}_unit"), MULTIPLIERS, 1.0),
-            ).otherwise(_number(F.regexp_extract(f"{e}_body", PLAIN_NUMBER, 0)))
-            * F.when(F.col(f"{e}_sign") == "£", F.lit(USD_RATES["GBP"]))
-            .when(F.col(f"{e}_sign") == "€", F.lit(USD_RATES["EUR"]))
-            .when(F.col(f"{e}_sign") == "¥", F.lit(USD_RATES["JPY"]))
-            .when(F.col(f"{e}_sign") == "$", F.lit(USD_RATES["USD"]))
-            .otherwise(_pick(F.col(f"{e}_code"), USD_RATES, 1.0))
-            for e in ends
-        }
+        {f"{e}_unit": F.lower(strip(F.regexp_replace(f"{e}_found", "^[0-9.]+", ""))) for e in ends}
     )
+    out = out.withColumns({f"{e}_usd": _dollars(e) for e in ends})
     out = out.withColumns(
         {
-            "_rev_usd": F.rint(
-                F.when(F.col("_rev_none"), F.lit(0.0))
-                .when(F.col(hi) != "", (F.col(f"{lo}_usd") + F.col(f"{hi}_usd")) / 2)
-                .otherwise(F.col(f"{lo}_usd"))
+            "_rev_usd": F.coalesce(
+                F.rint(
+                    F.when(F.col("_rev_hi").isNotNull(), (F.col("_rev_lo_usd") + F.col("_rev_hi_usd")) / 2).otherwise(
+                        F.col("_rev_lo_usd")
+                    )
+                ),
+                F.lit(0.0),
             )
         }
     )
@@ -115,3 +126,13 @@ def with_revenue(df: DataFrame, source: str = "revenue", target: str = "revenue_
         {target: F.coalesce(whole, F.lit(0).cast("bigint")), f"{target}_overflow": whole.isNull()}
     )
     return out.drop(*[c for c in out.columns if c.startswith("_rev_")])
+
+
+def _dollars(end: str) -> Column:
+    """Dollars of one end: the number with a unit, else the first plain number."""
+    found, sign, code = F.col(f"{end}_found"), F.col(f"{end}_sign"), F.col(f"{end}_code")
+    scaled = _number(F.regexp_replace(found, "[^0-9.]+$", "")) * _lookup(F.col(f"{end}_unit"), MULTIPLIERS)
+    plain = _number(F.regexp_extract(f"{end}_body", PLAIN_NUMBER, 0))
+    rates = {s: USD_RATES[c] for s, c in CURRENCY_SIGNS.items()} | USD_RATES
+    rate = _lookup(F.coalesce(sign, code), rates)
+    return F.when(found != "", scaled).otherwise(plain) * rate

@@ -13,8 +13,18 @@ _SPACES = (
     "    　"
 )
 
-# The same set inside a Java pattern compiled with (?U).
-WS = r"[\s\x1c-\x1f]"
+# The same set inside a Java character class.
+WS_CLASS = r"\t-\r\x1c- \x85\xa0  -     　"
+WS = f"[{WS_CLASS}]"
+
+# No letter, digit or underscore follows / precedes, in any script.
+WORD_END = r"(?![\p{L}\p{N}_])"
+WORD_START = r"(?<![\p{L}\p{N}_])"
+
+
+def _starts_visible(text: Column) -> Column:
+    """First character is printable ASCII: a comparison of one byte."""
+    return (text >= "!") & (text < "\x7f")
 
 
 def strip(text: Column) -> Column:
@@ -24,9 +34,10 @@ def strip(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Strip, and turn each inner run of whitespace into one space."""
-    return F.regexp_replace(strip(text), f"(?U){WS}+", " ")
+    bare = strip(text)
+    return F.when(bare.rlike(r"[^ -~]|  "), F.regexp_replace(bare, f"{WS}+", " ")).otherwise(bare)
 
 
 def is_blank(text: Column) -> Column:
     """Null or nothing but whitespace."""
-    return F.coalesce(strip(text) == "", F.lit(True))
+    return F.when(_starts_visible(text), F.lit(False)).otherwise(F.coalesce(strip(text) == "", F.lit(True)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.categories import standard_category
 from broadsheet.functions.dates import date_parts, date_text, parse_date
 from broadsheet.functions.revenue import with_revenue
+from broadsheet.session import settled
 
 
 def with_dates(df: DataFrame) -> DataFrame:
@@ -36,5 +37,5 @@ def clean(df: DataFrame) -> DataFrame:
     Dates and categories have a defined result for every text, so only revenue
     can fail: a number too large for the target type.
     """
-    out = with_category(with_dates(with_revenue(df)))
+    out = with_category(with_dates(settled(with_revenue(df))))
     return out.withColumnRenamed("revenue_usd_overflow", "revenue_error")

@@ -42,20 +42,26 @@ def _check_cutoff(cutoff: float) -> None:
         raise ValueError(f"cutoff must lie in [0, 1]: {cutoff}")
 
 
-def fuzzy_small(names: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
-    """Best key per name, every key being known to every task."""
+def resolve_small(names: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
+    """Key and kind of match per distinct name, every key being known to every
+    task.  ``keys`` are in dimension order: of keys that differ in case only
+    the last one counts."""
+    exact = set(keys)
+    folded = {k.lower(): k for k in keys}
 
-    @F.pandas_udf("string")
-    def best_key(batch: pd.Series) -> pd.Series:
-        def best(name: str | None) -> str | None:
-            if name is None:
-                return None
-            scored = [(r, k) for k in keys if (r := _ratio(k, name, cutoff)) is not None]
-            return max(scored)[1] if scored else None
+    def match(name: str) -> tuple[str | None, str | None]:
+        if name in exact:
+            return name, "exact"
+        if name.lower() in folded:
+            return folded[name.lower()], "ignoring case"
+        scored = [(r, k) for k in keys if (r := _ratio(k, name, cutoff)) is not None]
+        return (max(scored)[1], "similar") if scored else (None, None)
 
-        return batch.map(best, na_action="ignore").astype(object)
+    @F.pandas_udf("company_key string, match_kind string")
+    def matches(batch: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([match(n) for n in batch], columns=["company_key", "match_kind"], dtype=object)
 
-    return names.select("name", best_key("name").alias("fuzzy_key"))
+    return names.select("name", matches("name").alias("m")).select("name", "m.company_key", "m.match_kind")
 
 
 def _characters(text: str, size: str, ratio: float) -> Column:
@@ -136,23 +142,27 @@ def resolve_names(
     """
     _check_cutoff(cutoff)
     dim = dimension.where(F.coalesce(F.col("company_key") != "", F.lit(False)))
-    keys = dim.select("company_key")
-    folded = dim.groupBy(F.lower("company_key").alias("folded")).agg(F.max_by("company_key", "pos").alias("folded_key"))
-    small = at_most(keys, small_dimension)
-    hint = F.broadcast if small else (lambda df: df)
-    known = (
-        names.where(F.col("name").isNotNull())
-        .distinct()
-        .join(hint(keys.withColumnRenamed("company_key", "exact_key")), F.col("name") == F.col("exact_key"), "left")
-        .join(hint(folded), F.lower("name") == F.col("folded"), "left")
+    distinct = names.where(F.col("name").isNotNull()).distinct()
+    known = dim.select("company_key", "pos").limit(small_dimension + 1).collect()
+    if len(known) <= small_dimension:
+        return resolve_small(distinct, [r.company_key for r in sorted(known, key=lambda r: r.pos)], cutoff)
+    return resolve_large(distinct, dim, cutoff)
+
+
+def resolve_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
+    """As :func:`resolve_small`, by joins.  Names are distinct, so no join key
+    is more frequent than the dimension makes it."""
+    keys = dimension.select(F.col("company_key").alias("exact_key"))
+    folded = dimension.groupBy(F.lower("company_key").alias("folded")).agg(
+        F.max_by("company_key", "pos").alias("folded_key")
+    )
+    known = materialise(
+        names.join(keys, F.col("name") == F.col("exact_key"), "left")
+        .join(folded, F.lower("name") == F.col("folded"), "left")
         .select("name", "exact_key", "folded_key")
     )
-    known = materialise(known)
     open_names = known.where("exact_key IS NULL AND folded_key IS NULL").select("name")
-    if small:
-        fuzzy = fuzzy_small(open_names, [r.company_key for r in keys.collect()], cutoff)
-    else:
-        fuzzy = fuzzy_large(open_names, dim, cutoff)
+    fuzzy = fuzzy_large(open_names, dimension, cutoff)
     kind = (
         F.when(F.col("exact_key").isNotNull(), "exact")
         .when(F.col("folded_key").isNotNull(), "ignoring case")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import is_blank, strip
 from broadsheet.schema import CATEGORY_LABELS, REQUIRED_COLUMNS, SIZE_LABELS, SURPLUS_FLAG
+from broadsheet.session import settled
 
 VIOLATION_TYPE = "array<struct<field:string,rule:string>>"
 STAGES = ("raw", "clean", "enriched")
@@ -66,11 +67,14 @@ def raw_rules(columns: list[str]) -> list[Rule]:
         rules.append(Rule("<row>", "more cells than columns", F.coalesce(F.col(SURPLUS_FLAG), F.lit(False))))
     for field in ("article_id", "title", "company_name", "published_date", "category", "summary", "url"):
         rules += _text_rules(field)
-    url, article_id = strip(F.col("url")), strip(F.col("article_id"))
+    # The usual form is tested first; only other texts need stripping.
+    url, article_id = F.col("url"), F.col("article_id")
+    schemes = [F.startswith(text, F.lit(s)) for text in (url, strip(url)) for s in ("https://", "http://")]
+    rules.append(Rule("url", "no http scheme", ~reduce(or_, schemes)))
+    plain = article_id.rlike(r"^[A-Za-z0-9_-]+\z")
     rules.append(
-        Rule("url", "no http scheme", ~(F.startswith(url, F.lit("http://")) | F.startswith(url, F.lit("https://"))))
+        Rule("article_id", "unexpected characters", ~(plain | strip(article_id).rlike(r"(?iu)^[A-Z0-9_-]+\z")))
     )
-    rules.append(Rule("article_id", "unexpected characters", ~article_id.rlike(r"(?iu)^[A-Z0-9_-]+$")))
     if "author" in columns:
         rules.append(Rule("author", "missing", F.col("author").isNull()))
     return [Rule(r.field, r.name, F.coalesce(r.broken, F.lit(True)), r.whole_row) for r in rules]
@@ -79,10 +83,12 @@ def raw_rules(columns: list[str]) -> list[Rule]:
 def clean_rules(columns: list[str]) -> list[Rule]:
     """Rules for cleaned rows."""
     rules = _text_rules("article_id") + _text_rules("company_name")
-    date = strip(F.col("published_date"))
+    date = F.col("published_date")
+    iso = r"^\d{4}-\d{2}-\d{2}\z"
+    fits = date.rlike(iso) | (strip(date) == "") | strip(date).rlike(iso)
     rules += [
-        Rule("published_date", "missing", F.col("published_date").isNull()),
-        Rule("published_date", "not an ISO date", F.coalesce((date != "") & ~date.rlike(r"(?U)^\d{4}-\d{2}-\d{2}$"), F.lit(True))),
+        Rule("published_date", "missing", date.isNull()),
+        Rule("published_date", "not an ISO date", F.coalesce(~fits, F.lit(True))),
     ]
     rules += _label_rules("category", CATEGORY_LABELS)
     rules += _range_rules("revenue_usd", 0, None, nullable=False)
@@ -165,7 +171,7 @@ def tag_stage(df: DataFrame, stage: str) -> DataFrame:
     before = F.col("outcome") if seen else F.lit(None).cast("string")
     faults = F.col("violations") if seen else F.lit(None).cast(VIOLATION_TYPE)
     fails = before.isNull() & ~passes(rules)
-    return df.withColumns(
+    return settled(df).withColumns(
         {
             "outcome": F.coalesce(before, F.when(fails, F.lit(stage))),
             "violations": F.when(fails, violations(rules)).otherwise(faults),
@@ -200,16 +206,6 @@ def split_stage(df: DataFrame, stage: str) -> StageResult:
     return StageResult(valid, reject_table(tagged), counts)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` with its columns computed before any later filter.
-
-    The optimizer moves filters below projections and would repeat the whole
-    cleaning expression in the condition; it does not move them below an
-    observation.
-    """
-    return df.observe(Observation(), F.count(F.lit(1)).alias("rows"))
-
-
 def reject_table(tagged: DataFrame) -> DataFrame:
     """One row per fault of every row that a stage refused."""
     return (
