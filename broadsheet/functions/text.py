@@ -22,22 +22,17 @@ WORD_END = r"(?![\p{L}\p{N}_])"
 WORD_START = r"(?<![\p{L}\p{N}_])"
 
 
-def _starts_visible(text: Column) -> Column:
-    """First character is printable ASCII: a comparison of one byte."""
-    return (text >= "!") & (text < "\x7f")
-
-
 def strip(text: Column) -> Column:
     """Remove surrounding whitespace of any kind."""
     return F.trim(text, F.lit(_SPACES))
 
 
+def strip_sql(name: str) -> str:
+    """:func:`strip` as SQL text."""
+    return f"trim(BOTH '{_SPACES}' FROM {name})"
+
+
 def squeeze(text: Column) -> Column:
     """Strip, and turn each inner run of whitespace into one space."""
     bare = strip(text)
     return F.when(bare.rlike(r"[^ -~]|  "), F.regexp_replace(bare, f"{WS}+", " ")).otherwise(bare)
-
-
-def is_blank(text: Column) -> Column:
-    """Null or nothing but whitespace."""
-    return F.when(_starts_visible(text), F.lit(False)).otherwise(F.coalesce(strip(text) == "", F.lit(True)))

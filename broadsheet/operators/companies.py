@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.schema import COMPANY_FIELDS
-from broadsheet.session import at_most, materialise
+from broadsheet.session import at_most, materialise, settled
 
 CUTOFF = 0.75
 SMALL_DIMENSION = 2_000
@@ -61,7 +61,10 @@ def resolve_small(names: DataFrame, keys: list[str], cutoff: float) -> DataFrame
     def matches(batch: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([match(n) for n in batch], columns=["company_key", "match_kind"], dtype=object)
 
-    return names.select("name", matches("name").alias("m")).select("name", "m.company_key", "m.match_kind")
+    # Unsettled, a filter on the key would sink below the distinct names and
+    # match every article's name instead.
+    matched = settled(names.select("name", matches("name").alias("m")))
+    return matched.select("name", "m.company_key", "m.match_kind")
 
 
 def _characters(text: str, size: str, ratio: float) -> Column:
@@ -199,6 +202,8 @@ def attach_companies(
     if names is None:
         names = articles.select(F.col("company_name").alias("name"))
     fields = dimension.select("company_key", *[F.col(n).alias(f"meta_{n}") for n in COMPANY_FIELDS])
+    if at_most(dimension, small_dimension):
+        fields = F.broadcast(fields)
     matched = resolve_names(names, dimension, cutoff, small_dimension).where("company_key IS NOT NULL")
     name_map = materialise(
         matched.join(fields, "company_key").drop("company_key", "match_kind").withColumnRenamed("name", "company_name")

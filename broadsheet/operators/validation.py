@@ -10,13 +10,11 @@ below the cleaning steps and repeat them.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import is_blank, strip
+from broadsheet.functions.text import strip_sql
 from broadsheet.schema import CATEGORY_LABELS, REQUIRED_COLUMNS, SIZE_LABELS, SURPLUS_FLAG
 from broadsheet.session import settled
 
@@ -26,37 +24,35 @@ STAGES = ("raw", "clean", "enriched")
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` is true, never null, on rows that break the rule."""
+    """``broken`` is a SQL condition: true, never null, on rows that break the
+    rule.  Text costs one call to the JVM per stage; columns built piece by
+    piece cost one per piece."""
 
     field: str
     name: str
-    broken: Column
+    broken: str
     whole_row: bool = False
 
 
 def _text_rules(field: str) -> list[Rule]:
-    col = F.col(field)
-    return [
-        Rule(field, "missing", col.isNull()),
-        Rule(field, "empty", is_blank(col)),
-    ]
+    # Most texts start with visible ASCII, which one comparison tells.
+    blank = f"CASE WHEN {field} >= '!' AND {field} < '\x7f' THEN false ELSE coalesce({strip_sql(field)} = '', true) END"
+    return [Rule(field, "missing", f"{field} IS NULL"), Rule(field, "empty", blank)]
 
 
 def _label_rules(field: str, labels: list[str]) -> list[Rule]:
-    return [Rule(field, "not an allowed label", F.coalesce(~F.col(field).isin(labels), F.lit(True)))]
+    allowed = ", ".join(f"'{label}'" for label in labels)
+    return [Rule(field, "not an allowed label", f"coalesce({field} NOT IN ({allowed}), true)")]
 
 
 def _range_rules(field: str, low: int | None, high: int | None, nullable: bool = True) -> list[Rule]:
-    col = F.col(field).try_cast("bigint")
-    rules = []
-    if nullable:
-        rules.append(Rule(field, "not a whole number", F.col(field).isNotNull() & col.isNull()))
-    else:
-        rules.append(Rule(field, "not a whole number", col.isNull()))
+    number = f"try_cast({field} AS bigint)"
+    given = f"{field} IS NOT NULL AND " if nullable else ""
+    rules = [Rule(field, "not a whole number", f"{given}{number} IS NULL")]
     if low is not None:
-        rules.append(Rule(field, f"below {low}", F.coalesce(col < low, F.lit(False))))
+        rules.append(Rule(field, f"below {low}", f"coalesce({number} < {low}, false)"))
     if high is not None:
-        rules.append(Rule(field, f"above {high}", F.coalesce(col > high, F.lit(False))))
+        rules.append(Rule(field, f"above {high}", f"coalesce({number} > {high}, false)"))
     return rules
 
 
@@ -64,61 +60,52 @@ def raw_rules(columns: list[str]) -> list[Rule]:
     """Rules for rows as read.  Columns a table need not have are skipped."""
     rules = []
     if SURPLUS_FLAG in columns:
-        rules.append(Rule("<row>", "more cells than columns", F.coalesce(F.col(SURPLUS_FLAG), F.lit(False))))
+        rules.append(Rule("<row>", "more cells than columns", f"coalesce({SURPLUS_FLAG}, false)"))
     for field in ("article_id", "title", "company_name", "published_date", "category", "summary", "url"):
         rules += _text_rules(field)
     # The usual form is tested first; only other texts need stripping.
-    url, article_id = F.col("url"), F.col("article_id")
-    schemes = [F.startswith(text, F.lit(s)) for text in (url, strip(url)) for s in ("https://", "http://")]
-    rules.append(Rule("url", "no http scheme", ~reduce(or_, schemes)))
-    plain = article_id.rlike(r"^[A-Za-z0-9_-]+\z")
-    rules.append(
-        Rule("article_id", "unexpected characters", ~(plain | strip(article_id).rlike(r"(?iu)^[A-Z0-9_-]+\z")))
-    )
+    schemes = [f"startswith({t}, '{s}')" for t in ("url", strip_sql("url")) for s in ("https://", "http://")]
+    rules.append(Rule("url", "no http scheme", f"coalesce(NOT ({' OR '.join(schemes)}), true)"))
+    plain = r"article_id RLIKE r'^[A-Za-z0-9_-]+\z'"
+    other = rf"{strip_sql('article_id')} RLIKE r'(?iu)^[A-Z0-9_-]+\z'"
+    rules.append(Rule("article_id", "unexpected characters", f"coalesce(NOT ({plain} OR {other}), true)"))
     if "author" in columns:
-        rules.append(Rule("author", "missing", F.col("author").isNull()))
-    return [Rule(r.field, r.name, F.coalesce(r.broken, F.lit(True)), r.whole_row) for r in rules]
+        rules.append(Rule("author", "missing", "author IS NULL"))
+    return rules
 
 
 def clean_rules(columns: list[str]) -> list[Rule]:
     """Rules for cleaned rows."""
     rules = _text_rules("article_id") + _text_rules("company_name")
-    date = F.col("published_date")
-    iso = r"^\d{4}-\d{2}-\d{2}\z"
-    fits = date.rlike(iso) | (strip(date) == "") | strip(date).rlike(iso)
+    date, bare = "published_date", strip_sql("published_date")
+    iso = r"RLIKE r'^\d{4}-\d{2}-\d{2}\z'"
     rules += [
-        Rule("published_date", "missing", date.isNull()),
-        Rule("published_date", "not an ISO date", F.coalesce(~fits, F.lit(True))),
+        Rule(date, "missing", f"{date} IS NULL"),
+        Rule(date, "not an ISO date", f"coalesce(NOT ({date} {iso} OR {bare} = '' OR {bare} {iso}), true)"),
     ]
     rules += _label_rules("category", CATEGORY_LABELS)
     rules += _range_rules("revenue_usd", 0, None, nullable=False)
     rules += _range_rules("pub_year", 1900, 2100)
     rules += _range_rules("pub_quarter", 1, 4)
     rules += _range_rules("pub_month", 1, 12)
-    parts = [F.col(c).isNull().cast("int") for c in ("pub_year", "pub_quarter", "pub_month")]
-    rules.append(Rule("<row>", "date parts partly missing", ~sum(parts, F.lit(0)).isin(0, 3), whole_row=True))
+    parts = " + ".join(f"int({c} IS NULL)" for c in ("pub_year", "pub_quarter", "pub_month"))
+    rules.append(Rule("<row>", "date parts partly missing", f"{parts} NOT IN (0, 3)", whole_row=True))
     return rules
 
 
 def enriched_rules(columns: list[str]) -> list[Rule]:
     """Rules for enriched rows: the clean rules and those on company fields."""
     rules = clean_rules(columns)
-    rules.append(Rule("metadata_matched", "missing", F.col("metadata_matched").isNull()))
+    rules.append(Rule("metadata_matched", "missing", "metadata_matched IS NULL"))
     if "meta_founded_year" in columns:
         rules += _range_rules("meta_founded_year", 1800, 2100)
     if "meta_employee_count" in columns:
         rules += _range_rules("meta_employee_count", 0, None)
     rules += _label_rules("company_size_category", SIZE_LABELS)
     rules += _range_rules("company_age", -10, 300)
-    founded = F.col("meta_founded_year") if "meta_founded_year" in columns else F.lit(None)
-    rules.append(
-        Rule(
-            "<row>",
-            "matched without founding year",
-            F.coalesce(F.col("metadata_matched"), F.lit(False)) & founded.isNull(),
-            whole_row=True,
-        )
-    )
+    founded = "meta_founded_year" if "meta_founded_year" in columns else "NULL"
+    unfounded = f"coalesce(metadata_matched, false) AND {founded} IS NULL"
+    rules.append(Rule("<row>", "matched without founding year", unfounded, whole_row=True))
     return rules
 
 
@@ -139,25 +126,20 @@ def violations(rules: list[Rule]) -> Column:
     for rule in rules:
         if not rule.whole_row:
             by_field.setdefault(rule.field, []).append(rule)
-    entries = []
-    for field, checks in by_field.items():
-        name = F
-        for check in checks:
-            name = name.when(check.broken, F.lit(check.name))
-        entries.append((field, name))
-    earlier = [r.broken for r in rules if not r.whole_row]
-    for rule in (r for r in rules if r.whole_row):
-        entries.append((rule.field, F.when(rule.broken & ~reduce(or_, earlier), F.lit(rule.name))))
-        earlier = earlier + [rule.broken]
-    faults = [
-        F.when(name.isNotNull(), F.struct(F.lit(field).alias("field"), name.alias("rule"))) for field, name in entries
+    cases = [
+        (field, " ".join(f"WHEN {c.broken} THEN '{c.name}'" for c in checks)) for field, checks in by_field.items()
     ]
-    return F.array_compact(F.array(*faults)).cast(VIOLATION_TYPE)
+    earlier = [f"({r.broken})" for r in rules if not r.whole_row]
+    for rule in (r for r in rules if r.whole_row):
+        cases.append((rule.field, f"WHEN ({rule.broken}) AND NOT ({' OR '.join(earlier)}) THEN '{rule.name}'"))
+        earlier.append(f"({rule.broken})")
+    faults = ", ".join(f"named_struct('field', '{field}', 'rule', CASE {when} END)" for field, when in cases)
+    return F.expr(f"filter(array({faults}), v -> v.rule IS NOT NULL)").cast(VIOLATION_TYPE)
 
 
 def passes(rules: list[Rule]) -> Column:
     """Whether a row keeps every rule."""
-    return reduce(and_, [~r.broken for r in rules])
+    return F.expr(" AND ".join(f"NOT ({r.broken})" for r in rules))
 
 
 def tag_stage(df: DataFrame, stage: str) -> DataFrame:
