@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from broadsheet.functions.text import squeeze
-
 # ---- fixed values: texts that mean "no date", and the accepted formats, each
 # behind the shape a text must have for that format to be able to succeed.
 # Within a shape the order decides ambiguous texts: 12/06/2020 is 6 December.
@@ -22,28 +17,15 @@ DATE_SHAPES = [
 # ---- end of fixed values ----
 
 
-def parse_date(text: Column) -> Column:
-    """Date for a text already passed through :func:`date_text`.
+def date_sql(text: str) -> str:
+    """SQL for the date in a text that was stripped and squeezed.
 
     The shapes exclude each other, so a row tries at most two formats; a failed
     attempt costs a Java exception, which is what makes a long list slow.
     """
-    parsed = F.when(F.lower(text).isin(NO_DATE), F.lit(None).cast("timestamp"))
+    cases = [f"WHEN lower({text}) IN ({', '.join(repr(t) for t in NO_DATE)}) THEN CAST(NULL AS timestamp)"]
     for shape, patterns in DATE_SHAPES:
-        attempts = [F.try_to_timestamp(text, F.lit(p)) for p in patterns]
-        parsed = parsed.when(text.rlike(shape), F.coalesce(*attempts))
-    return parsed.cast("date")
-
-
-def date_text(raw: Column) -> Column:
-    """Normal form of a raw date text."""
-    return squeeze(raw)
-
-
-def date_parts(date: Column) -> dict[str, Column]:
-    """Year, quarter and month, null together when there is no date."""
-    return {
-        "pub_year": F.year(date),
-        "pub_quarter": F.quarter(date),
-        "pub_month": F.month(date),
-    }
+        quoted = [p.replace("'", "\\'") for p in patterns]
+        attempts = ", ".join(f"try_to_timestamp({text}, '{p}')" for p in quoted)
+        cases.append(f"WHEN {text} RLIKE r'{shape}' THEN coalesce({attempts}, NULL)")
+    return f"CAST(CASE {' '.join(cases)} END AS date)"

@@ -1,18 +1,17 @@
 """Free-form revenue text to whole US dollars.
 
-The work is laid out as consecutive projections, because every step is used
-several times by the next one: a single nested expression would repeat the
-regular expressions at each use.  Spark keeps such projections apart and runs
-them in one generated loop.
+Every step is used several times by the next one, so the steps are aliases in a
+select that refer to earlier aliases: Spark turns them into consecutive
+projections and computes each once.  They are SQL text because that costs one
+call to the JVM for all of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from broadsheet.functions.text import WORD_END, WORD_START, WS, strip_sql
 from broadsheet.session import settled
-from broadsheet.functions.text import WORD_END, WORD_START, WS, strip
 
 # ---- fixed values: rates, currency signs, multipliers and accepted spellings ----
 USD_RATES = {"USD": 1.0, "GBP": 1.27, "EUR": 1.10, "JPY": 1 / 150}
@@ -32,33 +31,46 @@ PLAIN_NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 _MAY_BE_RANGE = rf"[-–tToO]{WS}*[£€¥$]?[0-9,.]"
 
 
-def _lookup(key: Column, table: dict[str, float]) -> Column:
+def _lookup(key: str, table: dict[str, float]) -> str:
     """Value of a key, 1 when there is none.
 
     A literal map compiles to far less code than a chain of conditions, and
     only small methods get compiled to machine code.
     """
-    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.coalesce(F.try_element_at(entries, key), F.lit(1.0))
-
-
-def _sign(text: Column) -> Column:
-    found = F
-    for sign in CURRENCY_SIGNS:
-        found = found.when(F.contains(text, F.lit(sign)), F.lit(sign))
-    return found
-
-
-def _has_code(text: Column) -> Column:
-    upper = F.upper(text)
-    found = F.lit(False)
-    for code in USD_RATES:
-        found = found | F.contains(upper, F.lit(code))
-    return found
+    entries = ", ".join(f"'{name}', {float(value)!r}D" for name, value in table.items())
+    return f"coalesce(try_element_at(map({entries}), {key}), 1.0D)"
+
+
+def _split(end: str) -> dict[str, str]:
+    """Currency, and the number with its unit, of one end."""
+    signs = " ".join(f"WHEN contains({end}, '{sign}') THEN '{sign}'" for sign in CURRENCY_SIGNS)
+    named = " OR ".join(f"contains(upper({end}), '{code}')" for code in USD_RATES)
+    return {
+        f"{end}_sign": f"CASE {signs} END",
+        f"{end}_coded": f"CASE WHEN {end}_sign IS NULL AND ({named}) THEN {end} END",
+        f"{end}_code": f"upper(regexp_extract({end}_coded, r'{FIRST_CODE}', 2))",
+        f"{end}_body": f"""replace(CASE WHEN {end}_sign IS NOT NULL THEN replace({end}, {end}_sign)
+            WHEN {end}_code <> '' THEN regexp_replace({end}, r'{FIRST_CODE}', '$1$3')
+            ELSE {end} END, ',')""",
+        f"{end}_found": f"regexp_extract({end}_body, r'{NUMBER_WITH_UNIT}', 0)",
+    }
+
+
+def _dollars(end: str) -> dict[str, str]:
+    """Dollars of one end: the number with a unit, else the first plain number."""
+    rates = {sign: USD_RATES[code] for sign, code in CURRENCY_SIGNS.items()} | USD_RATES
+    unit = strip_sql(f"regexp_replace({end}_found, '^[0-9.]+', '')")
+    return {
+        f"{end}_unit": f"lower({unit})",
+        f"{end}_digits": f"""CASE WHEN {end}_found <> '' THEN regexp_replace({end}_found, '[^0-9.]+$', '')
+            ELSE regexp_extract({end}_body, r'{PLAIN_NUMBER}', 0) END""",
+        f"{end}_usd": f"""coalesce(try_cast({end}_digits AS double), 0D) * {_lookup(f"{end}_unit", MULTIPLIERS)}
+            * {_lookup(f"coalesce({end}_sign, {end}_code)", rates)}""",
+    }
 
 
-def _number(text: Column) -> Column:
-    return F.coalesce(text.try_cast("double"), F.lit(0.0))
+def _with(df: DataFrame, steps: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in steps.items()])
 
 
 def with_revenue(df: DataFrame, source: str = "revenue", target: str = "revenue_usd") -> DataFrame:
@@ -67,72 +79,26 @@ def with_revenue(df: DataFrame, source: str = "revenue", target: str = "revenue_
     Empty, missing and unreadable texts give 0.  A value beyond bigint also
     gives 0 and raises the flag.
     """
-    raw = F.col(source).cast("string") if source in df.columns else F.lit(None).cast("string")
-    out = df.withColumns({"_rev_text": strip(raw)})
-    # A text that means "nothing" becomes null, and every later step skips it.
-    out = out.withColumns({"_rev_text": F.when(~F.col("_rev_text").rlike(NO_REVENUE), F.col("_rev_text"))})
-    out = out.withColumns({"_rev_ranged": F.when(F.col("_rev_text").rlike(_MAY_BE_RANGE), F.col("_rev_text"))})
-    # Two ends of a range, else the whole text as the only end.
-    out = out.withColumns({f"_rev_g{g}": F.regexp_extract("_rev_ranged", RANGE, g) for g in (1, 2)})
-    is_range = F.col("_rev_g2") != ""
-    out = out.withColumns(
-        {
-            "_rev_lo": F.when(is_range, F.col("_rev_g1")).otherwise(F.col("_rev_text")),
-            "_rev_hi": F.when(is_range, F.col("_rev_g2")),
-        }
-    )
-    ends = ["_rev_lo", "_rev_hi"]
-    out = out.withColumns({f"{e}_sign": _sign(F.col(e)) for e in ends})
-    out = out.withColumns(
-        {
-            f"{e}_coded": F.when(F.col(f"{e}_sign").isNull() & _has_code(F.col(e)), F.col(e))
-            for e in ends
-        }
-    )
-    out = out.withColumns(
-        {f"{e}_code": F.upper(F.regexp_extract(f"{e}_coded", FIRST_CODE, 2)) for e in ends}
-    )
-    out = out.withColumns(
-        {
-            f"{e}_body": F.replace(
-                F.when(F.col(f"{e}_sign").isNotNull(), F.replace(F.col(e), F.col(f"{e}_sign")))
-                .when(F.col(f"{e}_code") != "", F.regexp_replace(e, FIRST_CODE, "$1$3"))
-                .otherwise(F.col(e)),
-                F.lit(","),
-            )
-            for e in ends
-        }
-    )
-    out = out.withColumns({f"{e}_found": F.regexp_extract(f"{e}_body", NUMBER_WITH_UNIT, 0) for e in ends})
-    out = settled(out)
-    out = out.withColumns(
-        {f"{e}_unit": F.lower(strip(F.regexp_replace(f"{e}_found", "^[0-9.]+", ""))) for e in ends}
-    )
-    out = out.withColumns({f"{e}_usd": _dollars(e) for e in ends})
-    out = out.withColumns(
-        {
-            "_rev_usd": F.coalesce(
-                F.rint(
-                    F.when(F.col("_rev_hi").isNotNull(), (F.col("_rev_lo_usd") + F.col("_rev_hi_usd")) / 2).otherwise(
-                        F.col("_rev_lo_usd")
-                    )
-                ),
-                F.lit(0.0),
-            )
-        }
-    )
-    whole = F.col("_rev_usd").try_cast("bigint")
-    out = out.withColumns(
-        {target: F.coalesce(whole, F.lit(0).cast("bigint")), f"{target}_overflow": whole.isNull()}
-    )
-    return out.drop(*[c for c in out.columns if c.startswith("_rev_")])
-
-
-def _dollars(end: str) -> Column:
-    """Dollars of one end: the number with a unit, else the first plain number."""
-    found, sign, code = F.col(f"{end}_found"), F.col(f"{end}_sign"), F.col(f"{end}_code")
-    scaled = _number(F.regexp_replace(found, "[^0-9.]+$", "")) * _lookup(F.col(f"{end}_unit"), MULTIPLIERS)
-    plain = _number(F.regexp_extract(f"{end}_body", PLAIN_NUMBER, 0))
-    rates = {s: USD_RATES[c] for s, c in CURRENCY_SIGNS.items()} | USD_RATES
-    rate = _lookup(F.coalesce(sign, code), rates)
-    return F.when(found != "", scaled).otherwise(plain) * rate
+    raw = f"CAST(`{source}` AS string)" if source in df.columns else "CAST(NULL AS string)"
+    steps = {
+        "_rev_bare": strip_sql(raw),
+        # A text that means "nothing" becomes null, and every later step skips it.
+        "_rev_text": f"CASE WHEN NOT (_rev_bare RLIKE r'{NO_REVENUE}') THEN _rev_bare END",
+        "_rev_ranged": f"CASE WHEN _rev_text RLIKE r'{_MAY_BE_RANGE}' THEN _rev_text END",
+        "_rev_g1": f"regexp_extract(_rev_ranged, r'{RANGE}', 1)",
+        "_rev_g2": f"regexp_extract(_rev_ranged, r'{RANGE}', 2)",
+        # Two ends of a range, else the whole text as the only end.
+        "_rev_lo": "CASE WHEN _rev_g2 <> '' THEN _rev_g1 ELSE _rev_text END",
+        "_rev_hi": "CASE WHEN _rev_g2 <> '' THEN _rev_g2 END",
+    }
+    split = settled(_with(df, steps | _split("_rev_lo") | _split("_rev_hi")))
+    value = "CASE WHEN _rev_hi IS NOT NULL THEN (_rev_lo_usd + _rev_hi_usd) / 2 ELSE _rev_lo_usd END"
+    steps = _dollars("_rev_lo") | _dollars("_rev_hi")
+    steps |= {
+        "_rev_usd": f"coalesce(rint({value}), 0D)",
+        "_rev_whole": "try_cast(_rev_usd AS bigint)",
+        target: "coalesce(_rev_whole, 0L)",
+        f"{target}_overflow": "_rev_whole IS NULL",
+    }
+    kept = [f"`{c}`" for c in df.columns if c not in (target, f"{target}_overflow")]
+    return _with(split, steps).select(*kept, target, f"{target}_overflow")

@@ -32,7 +32,7 @@ def strip_sql(name: str) -> str:
     return f"trim(BOTH '{_SPACES}' FROM {name})"
 
 
-def squeeze(text: Column) -> Column:
-    """Strip, and turn each inner run of whitespace into one space."""
-    bare = strip(text)
-    return F.when(bare.rlike(r"[^ -~]|  "), F.regexp_replace(bare, f"{WS}+", " ")).otherwise(bare)
+def squeeze_sql(name: str) -> str:
+    """SQL that turns each inner run of whitespace of a stripped text into one
+    space."""
+    return f"CASE WHEN {name} RLIKE r'[^ -~]|  ' THEN regexp_replace({name}, r'{WS}+', ' ') ELSE {name} END"

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.categories import standard_category
-from broadsheet.functions.dates import date_parts, date_text, parse_date
+from broadsheet.functions.dates import date_sql
 from broadsheet.functions.revenue import with_revenue
+from broadsheet.functions.text import squeeze_sql, strip_sql
 from broadsheet.session import settled
 
 
@@ -16,14 +17,22 @@ def with_dates(df: DataFrame) -> DataFrame:
 
     A text that is no date stays as it was, so that validation can reject it.
     """
-    raw = F.col("published_date").cast("string")
-    out = df.withColumns({"_date_text": date_text(raw)})
-    out = out.withColumns({"_date": parse_date(F.col("_date_text"))})
-    out = out.withColumns(
-        date_parts(F.col("_date"))
-        | {"published_date": F.coalesce(F.date_format("_date", "yyyy-MM-dd"), raw, F.lit(""))}
+    steps = {
+        "_date_raw": "CAST(published_date AS string)",
+        "_date_bare": strip_sql("_date_raw"),
+        "_date_text": squeeze_sql("_date_bare"),
+        "_date": date_sql("_date_text"),
+    }
+    dated = df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in steps.items()])
+    parts = ("pub_year", "pub_quarter", "pub_month")
+    rest = [f"`{c}`" for c in df.columns if c not in (*parts, "published_date")]
+    return dated.selectExpr(
+        *rest,
+        "coalesce(date_format(_date, 'yyyy-MM-dd'), _date_raw, '') AS published_date",
+        "year(_date) AS pub_year",
+        "quarter(_date) AS pub_quarter",
+        "month(_date) AS pub_month",
     )
-    return out.drop("_date_text", "_date")
 
 
 def with_category(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from broadsheet.operators.companies import CUTOFF, attach_companies, with_derive
 from broadsheet.operators.relevance import DEFAULT_SETS, RelevanceSets, relevant
 from broadsheet.operators.reporting import outcome_counters
 from broadsheet.operators.validation import reject_table, tag_stage
+from broadsheet.session import settled
 from broadsheet.sources.articles import read_articles_csv
 from broadsheet.sources.companies import read_companies
 from broadsheet.sources.exports import output_projection, write_enriched
@@ -30,7 +31,7 @@ def enrich_tagged(
     """
     if names is None:
         names = raw.select(F.col("company_name").cast("string").alias("name"))
-    cleaned = tag_stage(clean(tag_stage(raw, "raw")), "clean")
+    cleaned = tag_stage(clean(settled(tag_stage(raw, "raw"))), "clean")
     enriched = with_derived_fields(attach_companies(cleaned, dimension, cutoff, names))
     if sets is not None:
         enriched = enriched.withColumn(
