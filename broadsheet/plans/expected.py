@@ -159,14 +159,14 @@ EXPECTED = {
     "clean_dates": _with("SELECT article_id, published_date, pub_year, pub_quarter, pub_month FROM truth"),
     "clean_category": _with("SELECT article_id, category FROM truth"),
     "validate_counts": _with(
-        f"""SELECT count(*) AS rows_read, count_if(bad_raw) AS failed_raw, count_if(NOT bad_raw) AS rows_after_raw,
-        count_if(NOT bad_raw AND bad_date) AS failed_clean, CAST(0 AS BIGINT) AS revenue_errors,
+        f"""SELECT count(*) AS rows_read, count(*) FILTER (WHERE bad_raw) AS failed_raw, count(*) FILTER (WHERE NOT bad_raw) AS rows_after_raw,
+        count(*) FILTER (WHERE NOT bad_raw AND bad_date) AS failed_clean, CAST(0 AS BIGINT) AS revenue_errors,
         CAST(0 AS BIGINT) AS date_errors, CAST(0 AS BIGINT) AS category_errors,
-        (SELECT count_if(metadata_matched) FROM enriched) AS matched,
-        (SELECT count_if(NOT metadata_matched) FROM enriched) AS unmatched,
-        (SELECT count_if({_RELEVANT}) FROM enriched) AS retained,
+        (SELECT count(*) FILTER (WHERE metadata_matched) FROM enriched) AS matched,
+        (SELECT count(*) FILTER (WHERE NOT metadata_matched) FROM enriched) AS unmatched,
+        (SELECT count(*) FILTER (WHERE {_RELEVANT}) FROM enriched) AS retained,
         CAST(0 AS BIGINT) AS failed_enriched,
-        (SELECT count_if({_RELEVANT}) FROM enriched) AS exported FROM truth"""
+        (SELECT count(*) FILTER (WHERE {_RELEVANT}) FROM enriched) AS exported FROM truth"""
     ),
     "validate_rejects": _with(_FAULTS),
     "resolve_company": _with(
