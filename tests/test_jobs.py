@@ -254,6 +254,11 @@ def test_search_errors(spark, session):
         session.find_similar("ART0001", -1)
     with pytest.raises(Exception):
         session.hybrid_search("ART0001", "true; drop table articles")
+    bare = SearchSession(spark, view="bare")
+    bare.load(session.articles)
+    assert bare.hybrid_search("some text", "pub_year > 3000").count() == 0
+    with pytest.raises(ValueError, match="embedder"):
+        bare.hybrid_search("some text", "pub_year > 2000")
     with pytest.raises(ValueError, match="embedder"):
         empty.load(spark.createDataFrame([("a",)], "article_id string"))
 
