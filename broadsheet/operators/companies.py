@@ -119,7 +119,9 @@ def fuzzy_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFr
     def ratio(key: pd.Series, name: pd.Series) -> pd.Series:
         return pd.Series([_ratio(k, n, cutoff) for k, n in zip(key, name)], dtype="float64")
 
-    scored = pairs.withColumn("ratio", ratio("company_key", "name")).where(F.col("ratio").isNotNull())
+    # Settled, so that the filter cannot sink below the distinct pairs and have
+    # repeated pairs scored again.
+    scored = settled(pairs.withColumn("ratio", ratio("company_key", "name"))).where(F.col("ratio").isNotNull())
     best = scored.groupBy("name").agg(F.max_by("company_key", F.struct("ratio", "company_key")).alias("fuzzy_key"))
     if cutoff > 0:
         return best

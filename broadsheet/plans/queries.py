@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions.revenue import with_revenue
 from broadsheet.operators.cleaning import with_category, with_dates
 from broadsheet.operators.companies import resolve_names
-from broadsheet.operators.embedding import HashedWords, embed
+from broadsheet.operators.embedding import HashedWords, embed, text_to_embed
 from broadsheet.operators.relevance import DEFAULT_SETS, export_condition, keep_relevant
 from broadsheet.operators.reporting import outcome_counters, profile, row_count
 from broadsheet.operators.similarity import neighbour_ids, neighbours
 from broadsheet.operators.validation import reject_table
-from broadsheet.functions.revenue import with_revenue
 from broadsheet.plans.enrichment import enrich, enrich_tagged, run_enrichment
 from broadsheet.plans.order_articles import article_vectors, raw_articles, table
 from broadsheet.plans.search import SearchSession, attach_vectors, store_articles
@@ -161,8 +161,6 @@ def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("title"),
         F.col("text").alias("summary"),
     )
-    from broadsheet.operators.embedding import text_to_embed
-
     fitted = HashedWords().fit(docs.withColumn("text_to_embed", text_to_embed()), "text_to_embed")
     return embed(docs, fitted)
 

@@ -19,7 +19,7 @@ from broadsheet.plans.enrichment import enrich, run_enrichment
 from broadsheet.plans.search import SearchSession, duplicate_ids
 from broadsheet.plans.similarity_export import run_similarity_export, similarity_export
 from broadsheet.schema import EXPORT_COLUMNS, OUTPUT_COLUMNS, RAW_COLUMNS
-from broadsheet.session import at_most, local_session, shared_dir
+from broadsheet.session import at_most, shared_dir
 from broadsheet.sources.articles import read_articles_csv, read_enriched
 from broadsheet.sources.companies import COMPANIES, default_companies
 from broadsheet.sources.exports import write_enriched
