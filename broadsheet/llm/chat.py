@@ -4,6 +4,7 @@ Events of a conversation are partitioned by it, sorted by turn and sequence, and
 folded in one streaming pass:
 
 * ``message``: the whole text of a turn,
+* ``turn``: the same, as a turn of its own even if the number was there before,
 * ``delta``: text to append to the turn,
 * ``edit``: a new text of the turn; turns after it that came before are void,
 * ``regenerate``: the turn starts again empty; later turns that came before are void.
@@ -66,7 +67,7 @@ class _Fold:
 
     def push(self, turn: object, seq: object, kind: str, role: str | None, text: str | None) -> tuple[str, str] | None:
         done = None
-        if turn != self.turn:
+        if turn != self.turn or kind == "turn":
             done = self.flush()
             self.turn, self.cut = turn, self.next_cut
         if self.cut is not None and (seq is None or seq < self.cut):
@@ -145,11 +146,11 @@ def messages_as_events(conversations: DataFrame) -> DataFrame:
     """
     return conversations.select(
         "conv_id",
-        F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("turn"),
+        F.col("turn"),
         F.lit(0).cast("long").alias("seq"),
-        F.lit("message").alias("kind"),
-        "role",
-        F.col("text"),
+        F.lit("turn").alias("kind"),
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -67,6 +68,7 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
     out: list[tuple[str, int, bool] | None] = []
     text, outside = [], 0
     skip, depth, link = "", 0, 0
+    inner: Counter[str] = Counter()
     stack: list[str] = []
     main = 0
 
@@ -97,8 +99,10 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
                 if depth == 0:
                     skip = ""
                     continue
-            elif closing and name in stack and name not in ("p", "a", "b", "i", "em", "strong", "span", "li"):
+            elif closing and name in stack and not inner[name]:
                 skip = ""  # the element was not closed before its parent
+            elif name not in VOID:
+                inner[name] += -1 if closing else 1
             if skip:
                 continue
         if name in BLOCKS:
@@ -116,7 +120,7 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
                 continue
             end()
             out.append(None)
-            skip, depth = name, 1
+            skip, depth, inner = name, 1, Counter()
             continue
         if name in VOID:
             continue

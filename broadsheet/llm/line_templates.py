@@ -118,7 +118,7 @@ def _without(work: dict | None) -> tuple:
         return None, 0, False
     drop, kept, words, left = set(work["drop"]), [], 0, 0
     for line, h in zip(work["lines"], work["hashes"], strict=True):
-        n = len(line.split())
+        n = len(line.encode("utf-8", "surrogatepass").split())
         words += n
         if h not in drop:
             kept.append(line)

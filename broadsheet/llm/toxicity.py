@@ -3,7 +3,7 @@
 Features are the distinct character n-grams of a lower-cased text, hashed.  Each
 is scaled by the naive Bayes log ratio of its smoothed document counts among
 toxic and clean texts, and a logistic regression is fitted on the scaled
-features.  Features of small ratio or of very few documents are left out.
+features.  Features whose shares differ no more than by chance are left out.
 
 The fit uses a bounded sample of labelled rows: at most ``per_class`` distinct
 texts of each label of at most ``FIT_CHARS`` characters, chosen by text hash.
@@ -26,10 +26,11 @@ from broadsheet.llm.common import map_text
 
 PER_CLASS = 3000
 FIT_CHARS = 32768
-SIZES = (3, 4, 5)
+SIZES = (3, 4, 5, 6, 8)
 HASH_BITS = 20
 MIN_DOCS = 4
-MIN_RATIO = 1.0
+MIN_Z = 4.0
+RIDGE = 1e-5
 MAX_FEATURES = 20_000
 THRESHOLD = 0.7
 PIECE = 1 << 18
@@ -88,9 +89,13 @@ def fit_texts(texts: list[str], toxic: list[int], rounds: int = 200) -> NgramCla
         return NgramClassifier(np.zeros(size, bool), np.zeros(size, np.float32), bias)
     n = np.array([(y == 0).sum(), (y == 1).sum()], np.float32)
     ratio = np.log((counts[1] + 1) / (n[1] + 2)) - np.log((counts[0] + 1) / (n[0] + 2))
-    useful = (counts.sum(axis=0) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
+    # Only features whose shares differ by more than chance are worth a weight.
+    both = counts.sum(axis=0)
+    pooled = np.sqrt(np.maximum(both, 1) / n.sum() * (1 / n).sum())
+    z = np.abs(counts[1] / n[1] - counts[0] / n[0]) / pooled
+    useful = (both >= MIN_DOCS) & (z >= MIN_Z)
     best = np.flatnonzero(useful)
-    best = best[np.argsort(-np.abs(ratio[best]) * np.sqrt(counts.sum(axis=0)[best]), kind="stable")[:MAX_FEATURES]]
+    best = best[np.argsort(-z[best], kind="stable")[:MAX_FEATURES]]
     keep = np.zeros(size, bool)
     keep[best] = True
     rows = [_features(t, keep) for t in texts]
@@ -104,7 +109,7 @@ def fit_texts(texts: list[str], toxic: list[int], rounds: int = 200) -> NgramCla
     for t in range(1, rounds + 1):
         z = np.bincount(of, weights=value * w[flat], minlength=len(rows)) + b
         wrong = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * cost
-        g = np.bincount(flat, weights=value * wrong[of], minlength=size).astype(np.float32) + 1e-6 * w
+        g = np.bincount(flat, weights=value * wrong[of], minlength=size).astype(np.float32) + RIDGE * w
         gb = wrong.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
