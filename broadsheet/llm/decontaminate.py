@@ -25,7 +25,9 @@ from broadsheet.session import materialise
 WINDOW = 10
 TABLE_BYTES = 8 << 20
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+# The same in texts as they are written, capitals being letters too.
+WRITTEN_BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+WRITTEN_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 TABLE_TYPE = "array<array<struct<h:bigint,w:string,ids:array<string>>>>"
 NONE = "array<struct<i:int,l:int,ids:array<string>>>"
 
@@ -173,8 +175,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
     d = d.select(
         "_doc",
         F.aggregate("hits", start, step).alias("runs"),
-        words(body, BETWEEN).alias("w"),
-        F.split(body, WORD).alias("gaps"),
+        words(body, WRITTEN_BETWEEN).alias("w"),
+        F.split(body, WRITTEN_WORD).alias("gaps"),
     )
     # Kept runs of words lie between the hit ones.
     n = F.size("w")
