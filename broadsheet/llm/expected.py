@@ -105,26 +105,18 @@ tok AS (
   SELECT r, doc_id, raw, p, len(w) AS n, array_to_string(list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ') AS line
   FROM (SELECT *, list_filter(string_split_regex(raw, '{_SPACE}+'), lambda x: x <> '') AS w FROM raw)
 ),
-lines AS (
-  SELECT n, line, string_split(line, ' ') AS t, min(doc_id) AS low, max(doc_id) AS high
-  FROM tok WHERE n >= 3 AND doc_id IS NOT NULL GROUP BY n, line
+kept AS (SELECT r, doc_id, p, n, line, string_split(line, ' ') AS t FROM tok WHERE n >= 3 AND doc_id IS NOT NULL),
+shaped AS (
+  SELECT r, doc_id, p, n || ':' || line AS template FROM kept WHERE n < 8
+  UNION ALL
+  SELECT r, doc_id, p, n || ':' || j || ':' || array_to_string(list_concat(list_concat(t[1 : 3 + j * (n - 3) // 4], ['<*>']), t[4 + (j + 1) * (n - 3) // 4 : n]), ' ')
+  FROM kept, (SELECT unnest(range(4)) AS j) WHERE n >= 8
 ),
-leaf AS (SELECT *, n || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM lines WHERE n >= 8),
-mixed AS (SELECT leaf FROM leaf GROUP BY leaf HAVING count(*) > 1 AND min(low) < max(high)),
-placed AS (SELECT leaf, line, n, low, high, p, t[p] AS token FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM leaf SEMI JOIN mixed USING (leaf))),
-fixed AS (SELECT leaf, p, token FROM placed GROUP BY leaf, p, token HAVING min(low) < max(high)),
-general AS (
-  SELECT line, n || ':' || string_agg(p || '=' || token, ' ' ORDER BY p) AS template
-  FROM placed SEMI JOIN fixed USING (leaf, p, token)
-  GROUP BY line, n HAVING count(*) < n AND count(*) >= 0.75 * n
-),
-own AS (SELECT line, low, high, template IS NOT NULL AS general, coalesce(template, line) AS template FROM lines LEFT JOIN general USING (line)),
-wide AS (SELECT general, template, min(low) AS first FROM own GROUP BY general, template HAVING min(low) < max(high)),
-gone AS (SELECT line, first FROM own JOIN wide USING (general, template)),
+wide AS (SELECT template, min(doc_id) AS first FROM shaped GROUP BY template HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT r, p FROM shaped JOIN wide USING (template) WHERE doc_id > first),
 marked AS (
-  SELECT r, raw, p, len(list_filter(string_split_regex(raw, '{_SPACE}+'), lambda x: x <> '')) AS words,
-         coalesce(tok.n >= 3 AND doc_id > first, false) AS dropped
-  FROM tok LEFT JOIN gone USING (line)
+  SELECT r, raw, p, len(list_filter(string_split_regex(raw, '{_SPACE}+'), lambda x: x <> '')) AS words, gone.r IS NOT NULL AS dropped
+  FROM tok LEFT JOIN gone USING (r, p)
 ),
 done AS (
   SELECT r, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,

@@ -1,13 +1,13 @@
 """Line deduplication with a log-template tree.
 
 Lines are parsed by a tree of fixed depth: token count first, then the leading
-tokens.  Tokens with a digit are variable from the start.  In a leaf, a token
-stays in the template if lines of at least two documents have it at its place;
-other tokens become ``<*>``.  A line takes its generalised template if it has at
-least ``MIN_GENERAL`` tokens of which ``MIN_FIXED`` are fixed, else its own
-tokens are its template.  Counting support, instead of merging lines into the
-first template that fits, makes templates independent of the order of lines, so
-leaves need no single task.
+tokens.  Tokens with a digit are variable from the start and become ``<*>``.
+Below the leading tokens a line of at least ``MIN_GENERAL`` tokens is cut into
+``FIELDS`` runs of tokens, and each template of the line lets one run vary: two
+lines share a template if they agree in count, leading tokens and all runs but
+one.  So at most a quarter of a line varies besides its numbers.  Shorter lines
+have their masked tokens as their only template.  A template is a function of
+its line alone, so the order of lines is no matter and a leaf is never gathered.
 
 A template that occurs in two or more documents is recurring: its lines are
 dropped from all documents but the one of the least id.  A document of which
@@ -19,112 +19,97 @@ id count as one document; null texts stay null.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import SPACE, map_text
-from broadsheet.session import materialise
+from broadsheet.llm.common import map_text
 
 DEPTH = 3
+FIELDS = 4
 MIN_TOKENS = 3
 MIN_GENERAL = 8
-MIN_FIXED = 0.75
 MIN_LEFT = 0.2
-ANY = "<*>"
+ANY = b"<*>"
+DIGIT = re.compile(rb"[0-9]")
 
 
-def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+def line_tokens(line: bytes) -> list[bytes]:
+    """Tokens between ASCII white space, those with a digit masked."""
+    tokens = line.split()
+    if DIGIT.search(line):
+        tokens = [ANY if DIGIT.search(t) else t for t in tokens]
+    return tokens
 
 
-def _masked(tokens: Column) -> Column:
-    return F.transform(tokens, lambda w: F.when(w.rlike("[0-9]"), F.lit(ANY)).otherwise(w))
+def line_templates(line: bytes) -> list[bytes]:
+    """The templates of a line; none for very short ones."""
+    tokens = line_tokens(line)
+    n = len(tokens)
+    if n < MIN_TOKENS:
+        return []
+    if n < MIN_GENERAL:
+        return [b"%d:%b" % (n, b" ".join(tokens))]
+    cuts = [DEPTH + j * (n - DEPTH) // FIELDS for j in range(FIELDS + 1)]
+    runs = [b" ".join(tokens[a:b]) for a, b in zip([0, *cuts], cuts, strict=False)]
+    return [b"%d:%d:%b" % (n, j, b" ".join([*runs[: j + 1], ANY, *runs[j + 2 :]])) for j in range(FIELDS)]
 
 
-def _hash(masked: Column) -> Column:
-    return F.xxhash64(F.size(masked), masked)
+def template_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc, body, at, template)``: the hashed templates of the line at each place.
 
-
-def parsed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """``(doc, body, n, leaf, line, tokens)`` of every distinct masked line of a document.
-
-    ``body`` is the hash of the whole text, ``line`` that of the masked tokens.
+    ``body`` is the hash of the whole text, so that rows of one id stay apart.
     """
-    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(text).alias("body"), F.split(text, "\n").alias("lines"))
-    rows = rows.where(F.col("doc").isNotNull()).select(
-        "doc", "body", F.explode(F.array_distinct("lines")).alias("raw")
-    )
-    rows = rows.select("doc", "body", _masked(_tokens(F.col("raw"))).alias("tokens"))
-    n = F.size("tokens")
-    rows = rows.where(n >= MIN_TOKENS).withColumn("n", n)
-    leaf = F.xxhash64("n", *[F.get("tokens", F.lit(k)) for k in range(depth)])
-    return rows.select("doc", "body", "n", leaf.alias("leaf"), _hash(F.col("tokens")).alias("line"), "tokens")
-
-
-def templates(lines: DataFrame) -> DataFrame:
-    """``(line, template)`` of the lines whose template is not their own tokens.
-
-    Only leaves with several lines and documents can generalise; equal lines are
-    counted once with the least and greatest document they occur in.
-    """
-    wide = lines.where(F.col("n") >= MIN_GENERAL)
-    bounds = (F.min("doc").alias("low"), F.max("doc").alias("high"))
-    line_docs = wide.groupBy("leaf", "line").agg(*bounds)
-    mixed = (
-        line_docs.groupBy("leaf")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("lines"))
-        .where("lines > 1 AND low < high")
-        .select("leaf")
-    )
-    each = materialise(
-        wide.join(mixed, "leaf").groupBy("leaf", "line", "n").agg(*bounds, F.first("tokens").alias("tokens"))
-    )
-    placed = each.select("leaf", "line", "n", "low", "high", F.posexplode("tokens").alias("at", "token"))
-    support = placed.groupBy("leaf", "at", "token").agg(F.min("low").alias("a"), F.max("high").alias("b"))
-    fixed = support.where("a < b").select("leaf", "at", "token", F.lit(True).alias("fixed"))
-    joined = placed.select("leaf", "line", "n", "at", "token").join(fixed, ["leaf", "at", "token"])
-    kept = joined.groupBy("leaf", "line", "n").agg(
-        F.count(F.lit(1)).alias("n_fixed"), F.array_sort(F.collect_list(F.struct("at", "token"))).alias("parts")
-    )
-    kept = kept.where((F.col("n_fixed") < F.col("n")) & (F.col("n_fixed") >= MIN_FIXED * F.col("n")))
-    return kept.select("line", F.xxhash64("n", "parts").alias("template"))
-
-
-def recurring_lines(lines: DataFrame) -> DataFrame:
-    """``(line, first)``: lines of recurring templates and the document that keeps them."""
-    general = templates(lines)
-    each = lines.groupBy("line").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    own = each.join(general, "line", "left").withColumns(
-        {"general": F.col("template").isNotNull(), "template": F.coalesce("template", "line")}
-    )
-    own = materialise(own)
-    wide = own.groupBy("general", "template").agg(F.min("low").alias("first"), F.max("high").alias("last"))
-    wide = wide.where("first < last").select("general", "template", "first")
-    return own.join(wide, ["general", "template"]).select("line", "first")
+    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
+    rows = rows.where("doc IS NOT NULL AND text IS NOT NULL")
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("at", T.IntegerType()), T.StructField("template", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            row, at, template = [], [], []
+            for k, body in enumerate(batch.column(2).to_pylist()):
+                for i, line in enumerate(body.encode("utf-8", "surrogatepass").split(b"\n")):
+                    found = line_templates(line)
+                    row += [k] * len(found)
+                    at += [i] * len(found)
+                    template += map(digest, found)
+            taken = pa.array(row, pa.int64())
+            hashes = pa.array(np.array(template, "<u8").view("<i8"), pa.int64())
+            arrays = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(at, pa.int32()), hashes]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, body, drop)``: hashes of the masked lines to drop from a document."""
-    lines = parsed_lines(docs, key, text)
-    found = lines.select("doc", "body", "line").join(recurring_lines(lines), "line").where("doc > first")
-    return found.groupBy("doc", "body").agg(F.collect_set("line").alias("drop"))
+    """``(doc, body, drop)``: the places of the lines to drop from a document."""
+    rows = template_rows(docs, key, text)
+    first = rows.groupBy("template").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    first = first.where("first < last").select("template", "first")
+    found = rows.join(first, "template").where("doc > first")
+    return found.groupBy("doc", "body").agg(F.collect_set("at").alias("drop"))
 
 
 def _without(work: dict | None) -> tuple:
     if work is None:
         return None, 0, False
     drop, kept, words, left = set(work["drop"]), [], 0, 0
-    for line, h in zip(work["lines"], work["hashes"], strict=True):
-        n = len(line.encode("utf-8", "surrogatepass").split())
+    lines = work["text"].encode("utf-8", "surrogatepass").split(b"\n")
+    for i, line in enumerate(lines):
+        n = len(line.split())
         words += n
-        if h not in drop:
+        if i not in drop:
             kept.append(line)
             left += n
-    dropped = len(work["lines"]) - len(kept)
-    return "\n".join(kept), dropped, dropped > 0 and left < MIN_LEFT * words
+    return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(lines) - len(kept), left < MIN_LEFT * words
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -132,16 +117,9 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     drops = dropped_lines(docs, key, text)
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(doc.alias("_doc"), F.col(f"`{key}`").alias("doc"), F.xxhash64(text).alias("body"))
+    body = F.col(f"_doc.`{text}`")
     rows = rows.join(drops, ["doc", "body"], "left").select(
-        "_doc", F.split(f"_doc.`{text}`", "\n").alias("lines"), "drop"
-    )
-    rows = rows.select(
-        "_doc",
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(
-            F.col("drop").isNotNull(),
-            F.struct("lines", F.transform("lines", lambda x: _hash(_masked(_tokens(x)))).alias("hashes"), "drop"),
-        ).alias("work"),
+        "_doc", F.when(F.col("drop").isNotNull(), F.struct(body.alias("text"), "drop")).alias("work")
     )
 
     def start() -> Callable:
@@ -149,7 +127,13 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     fields = [("new", T.StringType()), ("n_dropped", T.LongType()), ("is_copy", T.BooleanType())]
     done = map_text(rows, "work", start, fields).drop("work")
-    return done.withColumn("new", F.when(F.col("n_dropped") > 0, F.col("new")).otherwise(F.col(f"_doc.`{text}`")))
+    return done.select(
+        "_doc",
+        F.when(F.col("n_dropped") > 0, F.col("new")).otherwise(body).alias("new"),
+        F.coalesce(F.size(F.split(body, "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        "n_dropped",
+        "is_copy",
+    )
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
