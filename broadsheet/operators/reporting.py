@@ -16,8 +16,6 @@ def outcome_counters() -> list[Column]:
         F.count_if(outcome.isNull() | (outcome != "raw")).alias("rows_after_raw"),
         F.count_if(outcome == "clean").alias("failed_clean"),
         F.count_if(F.col("revenue_error") & (outcome.isNull() | (outcome != "raw"))).alias("revenue_errors"),
-        F.sum(F.lit(0)).alias("date_errors"),
-        F.sum(F.lit(0)).alias("category_errors"),
         F.count_if(reached & F.col("metadata_matched")).alias("matched"),
         F.count_if(reached & ~F.col("metadata_matched")).alias("unmatched"),
         F.count_if(reached & (outcome.isNull() | (outcome != "irrelevant"))).alias("retained"),

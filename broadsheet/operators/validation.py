@@ -46,9 +46,10 @@ def _label_rules(field: str, labels: list[str]) -> list[Rule]:
 
 
 def _range_rules(field: str, low: int | None, high: int | None, nullable: bool = True) -> list[Rule]:
-    number = f"try_cast({field} AS bigint)"
+    # Numbers may come as text or as doubles: 5, 5.0 and '5.0' are whole, 5.5 is not.
+    number = f"try_cast(CAST({field} AS string) AS double)"
     given = f"{field} IS NOT NULL AND " if nullable else ""
-    rules = [Rule(field, "not a whole number", f"{given}{number} IS NULL")]
+    rules = [Rule(field, "not a whole number", f"{given}coalesce({number} % 1 <> 0, true)")]
     if low is not None:
         rules.append(Rule(field, f"below {low}", f"coalesce({number} < {low}, false)"))
     if high is not None:
@@ -96,7 +97,9 @@ def clean_rules(columns: list[str]) -> list[Rule]:
 def enriched_rules(columns: list[str]) -> list[Rule]:
     """Rules for enriched rows: the clean rules and those on company fields."""
     rules = clean_rules(columns)
+    matched = "try_cast(CAST(metadata_matched AS string) AS boolean)"
     rules.append(Rule("metadata_matched", "missing", "metadata_matched IS NULL"))
+    rules.append(Rule("metadata_matched", "not a flag", f"metadata_matched IS NOT NULL AND {matched} IS NULL"))
     if "meta_founded_year" in columns:
         rules += _range_rules("meta_founded_year", 1800, 2100)
     if "meta_employee_count" in columns:
@@ -104,7 +107,7 @@ def enriched_rules(columns: list[str]) -> list[Rule]:
     rules += _label_rules("company_size_category", SIZE_LABELS)
     rules += _range_rules("company_age", -10, 300)
     founded = "meta_founded_year" if "meta_founded_year" in columns else "NULL"
-    unfounded = f"coalesce(metadata_matched, false) AND {founded} IS NULL"
+    unfounded = f"coalesce({matched}, false) AND {founded} IS NULL"
     rules.append(Rule("<row>", "matched without founding year", unfounded, whole_row=True))
     return rules
 
@@ -112,14 +115,25 @@ def enriched_rules(columns: list[str]) -> list[Rule]:
 RULES = {"raw": raw_rules, "clean": clean_rules, "enriched": enriched_rules}
 
 
+def absent_columns(df: DataFrame, stage: str) -> list[str]:
+    return sorted(set(REQUIRED_COLUMNS.get(stage, [])) - set(df.columns))
+
+
 def check_columns(df: DataFrame, stage: str) -> None:
     """Raise when a required column is absent.  Needs no data unless one is:
     an empty table passes whatever its columns."""
-    absent = sorted(set(REQUIRED_COLUMNS.get(stage, [])) - set(df.columns))
+    absent = absent_columns(df, stage)
     if absent and not df.isEmpty():
         raise ValueError(f"stage {stage!r}: required columns are missing: {absent}")
 
 
+def column_faults(df: DataFrame, stage: str) -> DataFrame:
+    """``(stage, field, rows)``: each absent required column and the rows that lack it."""
+    fields = F.array(*[F.lit(c) for c in absent_columns(df, stage)]).cast("array<string>")
+    counted = df.agg(F.count(F.lit(1)).alias("rows")).where("rows > 0")
+    return counted.select(F.lit(stage).alias("stage"), F.explode(fields).alias("field"), "rows")
+
+
 def violations(rules: list[Rule]) -> Column:
     """Every reported fault of a row, as an array."""
     by_field: dict[str, list[Rule]] = {}

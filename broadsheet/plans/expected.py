@@ -11,7 +11,7 @@ from difflib import get_close_matches
 
 from broadsheet.functions.categories import CATEGORY_MAP
 from broadsheet.plans.order_articles import COMPANY_NAMES, NAME_FORMS, RAW_CATEGORIES, YEARS_AHEAD, spelled_name
-from broadsheet.plans.queries import FLAT_EXPORT, QUERY_ID
+from broadsheet.plans.queries import FLAT_EXPORT, QUERY_ID, QUERY_TEXT
 from broadsheet.schema import OUTPUT_COLUMNS
 from broadsheet.sources.companies import COMPANIES
 
@@ -154,6 +154,54 @@ _FAULTS = """
     UNION ALL SELECT article_id, 'clean', 'published_date', 'not an ISO date' FROM truth WHERE NOT bad_raw AND bad_date
 """
 
+_WORDS = r"list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}_]+'), lambda x: x <> '')"
+
+
+def _embedded(source: str, extra: str = "") -> str:
+    """Tables ``space`` of (article_id, e) for the texts t of ``source``; ``extra`` is a text that is not counted."""
+    texts = f"SELECT article_id, t, true AS counted FROM ({source})"
+    if extra:
+        texts += f" UNION ALL SELECT 'QUERY', {_text(extra)}, false"
+    return f"""
+    texts AS ({texts}),
+    places AS (SELECT article_id, counted, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 384 AS p
+               FROM (SELECT article_id, counted, unnest({_WORDS}) AS w FROM texts)),
+    grid AS (SELECT p, ln(((SELECT count(*) FROM texts WHERE counted) + 1.0) / (coalesce(n, 0) + 1.0)) AS idf
+             FROM (SELECT unnest(range(384)) AS p)
+             LEFT JOIN (SELECT p, count(DISTINCT article_id) AS n FROM places WHERE counted GROUP BY p) USING (p)),
+    weighted AS (SELECT article_id, p, count(*) * any_value(idf) AS x FROM places JOIN grid USING (p) GROUP BY article_id, p),
+    norms AS (SELECT article_id, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY article_id),
+    space AS (SELECT texts.article_id, list(CAST(CASE WHEN norm > 0 THEN coalesce(x, 0) / norm ELSE 0 END AS DOUBLE) ORDER BY p) AS e
+              FROM texts CROSS JOIN grid LEFT JOIN weighted USING (article_id, p) LEFT JOIN norms USING (article_id) GROUP BY texts.article_id)"""
+
+
+def _cosine(a: str, b: str) -> str:
+    """Cosine of unit vectors as ranked: rounded to twelve decimals."""
+    return f"round(list_dot_product({a}, {b}), 12)"
+
+
+_FOLD = "round(list_dot_product({e}, list_transform(range(1, 385), lambda i: CAST(i AS DOUBLE))), 4)"
+_DOC_TEXTS = "SELECT 'DOC' || doc_id AS article_id, coalesce(source, '') || '. ' || coalesce(text, '') AS t FROM documents"
+_NEWS_TEXTS = "SELECT article_id, coalesce(title, '') || '. ' || coalesce(summary, '') AS t FROM enriched"
+
+
+def _top3(queries: str) -> str:
+    return f"""
+    SELECT article_id, string_agg(id, ',' ORDER BY rank) AS top_similar_articles FROM (
+        SELECT q.article_id, s.article_id AS id,
+               row_number() OVER (PARTITION BY q.article_id ORDER BY {_cosine('q.e', 's.e')} DESC, s.article_id) AS rank
+        FROM (SELECT * FROM space WHERE {queries}) q JOIN space s ON q.article_id <> s.article_id)
+    WHERE rank <= 3 GROUP BY article_id"""
+
+
+_SPOILED = """
+    spoiled AS (SELECT article_id, CAST(regexp_extract(article_id, '([0-9]+)', 1) AS BIGINT) AS k, metadata_matched FROM enriched)
+    SELECT article_id, 'enriched' AS stage, 'company_age' AS field, 'above 300' AS rule FROM spoiled WHERE k % 13 = 0
+    UNION ALL SELECT article_id, 'enriched', 'metadata_matched', 'not a flag' FROM spoiled WHERE k % 17 = 0
+    UNION ALL SELECT article_id, 'enriched', 'meta_employee_count', 'not a whole number' FROM spoiled WHERE k % 19 = 0
+    UNION ALL SELECT article_id, 'enriched', '<row>', 'matched without founding year' FROM spoiled
+    WHERE k % 23 = 0 AND metadata_matched AND k % 13 <> 0 AND k % 17 <> 0 AND k % 19 <> 0"""
+
 EXPECTED = {
     "clean_revenue": _with("SELECT article_id, revenue_usd FROM truth"),
     "clean_dates": _with("SELECT article_id, published_date, pub_year, pub_quarter, pub_month FROM truth"),
@@ -161,7 +209,6 @@ EXPECTED = {
     "validate_counts": _with(
         f"""SELECT count(*) AS rows_read, count(*) FILTER (WHERE bad_raw) AS failed_raw, count(*) FILTER (WHERE NOT bad_raw) AS rows_after_raw,
         count(*) FILTER (WHERE NOT bad_raw AND bad_date) AS failed_clean, CAST(0 AS BIGINT) AS revenue_errors,
-        CAST(0 AS BIGINT) AS date_errors, CAST(0 AS BIGINT) AS category_errors,
         (SELECT count(*) FILTER (WHERE metadata_matched) FROM enriched) AS matched,
         (SELECT count(*) FILTER (WHERE NOT metadata_matched) FROM enriched) AS unmatched,
         (SELECT count(*) FILTER (WHERE {_RELEVANT}) FROM enriched) AS retained,
@@ -169,6 +216,11 @@ EXPECTED = {
         (SELECT count(*) FILTER (WHERE {_RELEVANT}) FROM enriched) AS exported FROM truth"""
     ),
     "validate_rejects": _with(_FAULTS),
+    "validate_enriched": _with("," + _SPOILED),
+    "missing_columns": _with(
+        """SELECT * FROM (VALUES ('raw', 'author'), ('raw', 'url')) f(stage, field), (SELECT count(*) AS rows FROM truth)
+        UNION ALL SELECT * FROM (VALUES ('clean', 'pub_year')) f(stage, field), (SELECT count(*) AS rows FROM enriched)"""
+    ),
     "resolve_company": _with(
         """SELECT DISTINCT nm.name, nm.company_key, nm.match_kind
         FROM base b JOIN names nm ON nm.ci = b.ci AND nm.form = b.form"""
@@ -199,9 +251,25 @@ EXPECTED = {
         FROM enriched LEFT JOIN vectors v USING (article_id)
         WHERE pub_year >= 2019 GROUP BY category, company_size_category"""
     ),
-    "embed_documents": """
+    "embed_documents": f"""
+        WITH {_embedded(_DOC_TEXTS)}
         SELECT doc_id, md5(coalesce(source, '') || '. ' || coalesce(text, '')) AS text_hash,
-               CAST(384 AS INTEGER) AS dimensions, CAST(1.0 AS DOUBLE) AS norm FROM documents""",
+               CAST(len(e) AS INTEGER) AS dimensions, round(sqrt(list_dot_product(e, e)), 6) AS norm, {_FOLD.format(e='e')} AS vector
+        FROM documents d JOIN space ON space.article_id = 'DOC' || doc_id""",
+    "document_neighbours": f"WITH {_embedded(_DOC_TEXTS)} {_top3('true')}",
+    "search_by_text": f"""
+        WITH {_embedded(_DOC_TEXTS, QUERY_TEXT)}
+        SELECT s.article_id, round({_cosine('q.e', 's.e')}, 6) AS score
+        FROM space s, (SELECT e FROM space WHERE article_id = 'QUERY') q WHERE s.article_id <> 'QUERY'
+        ORDER BY {_cosine('q.e', 's.e')} DESC, s.article_id LIMIT 10""",
+    "top3_repeated_ids": f"""
+        WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        twice AS (SELECT vec_id * 2 AS r, 'S' || (vec_id // 2) AS id, e FROM e UNION ALL SELECT vec_id * 2 + 1, 'T' || (vec_id // 2), e FROM e),
+        near AS (SELECT q.r, q.id, t.id || ':' || t.r AS hit, row_number() OVER (PARTITION BY q.r
+                     ORDER BY round({_COS.format(a='q.e', b='t.e')}, 12) DESC, t.id, t.r) AS rank
+                 FROM twice q JOIN twice t ON q.r <> t.r)
+        SELECT r AS row_id, id AS article_id, form, string_agg(hit, ',' ORDER BY rank) AS neighbours
+        FROM near, (VALUES ('small'), ('blocked')) f(form) WHERE rank <= 3 GROUP BY r, id, form""",
     "csv_roundtrip": _with(
         f"""SELECT article_id, title, t.company_name,
         CASE dv WHEN 0 THEN strftime(b.d, '%Y-%m-%d') WHEN 1 THEN strftime(b.d, '%Y-%m-%dT00:00:00Z')
@@ -253,21 +321,25 @@ EXPECTED = {
         WHERE {_RELEVANT}"""
     ),
     "similarity_rows": _with(
-        f""", corpus AS (SELECT en.*, v.e FROM enriched en JOIN vectors v USING (article_id)),
+        f""", corpus AS (SELECT en.*, v.e FROM enriched en LEFT JOIN vectors v USING (article_id)),
         kept AS (SELECT * FROM corpus WHERE {_EXPORTED}),
         near AS (SELECT article_id, string_agg(neighbour, ',' ORDER BY rank) AS ids
-                 FROM ({_ranked('corpus', 'kept')}) WHERE rank <= 3 GROUP BY article_id)
-        SELECT {_FLAT_SQL}, CAST(len(s.e) AS INTEGER) AS dimensions, near.ids AS top_similar_articles
+                 FROM ({_ranked('(SELECT * FROM corpus WHERE e IS NOT NULL)', '(SELECT * FROM kept WHERE e IS NOT NULL)')})
+                 WHERE rank <= 3 GROUP BY article_id)
+        SELECT {_FLAT_SQL}, CAST(coalesce(len(s.e), 0) AS INTEGER) AS dimensions, near.ids AS top_similar_articles
         FROM kept s LEFT JOIN near USING (article_id)"""
     ),
     "similarity_job": _with(
-        f"""SELECT article_id, meta_industry AS industry, revenue_usd, CAST(384 AS INTEGER) AS dimensions,
-        CAST(3 AS INTEGER) AS listed FROM enriched JOIN vectors USING (article_id) WHERE {_EXPORTED}"""
+        f""", {_embedded(_NEWS_TEXTS)},
+        near AS ({_top3(f"article_id IN (SELECT article_id FROM enriched WHERE {_EXPORTED})")})
+        SELECT article_id, coalesce(meta_industry, '') AS industry, revenue_usd, CAST(len(e) AS INTEGER) AS dimensions,
+               {_FOLD.format(e='e')} AS vector, top_similar_articles
+        FROM enriched JOIN space USING (article_id) JOIN near USING (article_id) WHERE {_EXPORTED}"""
     ),
     "search_session": _with(
-        f""", corpus AS (SELECT en.*, v.e FROM enriched en JOIN vectors v USING (article_id))
+        f""", corpus AS (SELECT en.*, v.e FROM enriched en LEFT JOIN vectors v USING (article_id))
         {_nearest(
-            't.pub_year BETWEEN 2018 AND 2022 AND t.revenue_usd >= 100000',
+            't.e IS NOT NULL AND t.pub_year BETWEEN 2018 AND 2022 AND t.revenue_usd >= 100000',
             5,
             ', t.company_name AS company_name, t.category AS category, t.pub_year AS pub_year, t.revenue_usd AS revenue_usd',
             'corpus',

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.revenue import with_revenue
@@ -14,7 +14,7 @@ from broadsheet.operators.embedding import HashedWords, embed, text_to_embed
 from broadsheet.operators.relevance import DEFAULT_SETS, export_condition, keep_relevant
 from broadsheet.operators.reporting import outcome_counters, profile, row_count
 from broadsheet.operators.similarity import neighbour_ids, neighbours
-from broadsheet.operators.validation import reject_table
+from broadsheet.operators.validation import column_faults, reject_table, split_stage
 from broadsheet.plans.enrichment import enrich, enrich_tagged, run_enrichment
 from broadsheet.plans.order_articles import article_vectors, raw_articles, table
 from broadsheet.plans.search import SearchSession, attach_vectors, store_articles
@@ -26,6 +26,7 @@ from broadsheet.sources.companies import default_companies, parse_companies
 from broadsheet.sources.exports import write_articles_csv, write_enriched, write_export
 
 QUERY_ID = "ART42"
+QUERY_TEXT = "the heon and thing of that in the on une les der schen"
 FLAT_EXPORT = [name for _, name in EXPORT_COLUMNS if name not in ("embedding", "top_similar_articles")]
 
 
@@ -55,6 +56,27 @@ def validate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_table(_tagged(spark, sf_dir))
 
 
+def validate_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of enriched rows whose fields come back as text, some of them spoiled."""
+    k = F.regexp_extract("article_id", "([0-9]+)", 1).cast("bigint")
+    rows = enrich_articles(spark, sf_dir).withColumns(
+        {
+            "company_age": F.when(k % 13 == 0, F.lit("301")).otherwise(F.concat(F.col("company_age").cast("string"), F.lit(".0"))),
+            "metadata_matched": F.when(k % 17 == 0, F.lit("banana")).otherwise(F.col("metadata_matched").cast("string")),
+            "meta_employee_count": F.when(k % 19 == 0, F.lit("5.5")).otherwise(F.col("meta_employee_count").cast("double").cast("string")),
+            "meta_founded_year": F.when(k % 23 != 0, F.col("meta_founded_year").cast("string")),
+        }
+    )
+    return split_stage(rows, "enriched").rejects
+
+
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required columns that a table lacks at each stage, and how many rows that refuses."""
+    raw = raw_articles(spark, sf_dir).drop("url", "author")
+    clean = enrich_articles(spark, sf_dir).drop("pub_year")
+    return column_faults(raw, "raw").union(column_faults(clean, "clean")).union(column_faults(clean, "enriched"))
+
+
 def resolve_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = raw_articles(spark, sf_dir).select(F.col("company_name").alias("name"))
     return resolve_names(names, default_companies(spark))
@@ -127,6 +149,23 @@ def top3_neighbours_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def top3_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours of rows when ids and vectors repeat, by both forms.
+
+    Every vector occurs under two ids, one of which it shares with the next vector.
+    """
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    shared = F.floor(F.col("vec_id") / 2).cast("string")
+    rows = e.select((F.col("vec_id") * 2).alias("row_id"), F.concat(F.lit("S"), shared).alias("article_id"), "embedding").union(
+        e.select((F.col("vec_id") * 2 + 1).alias("row_id"), F.concat(F.lit("T"), shared).alias("article_id"), "embedding")
+    )
+    small = neighbours(rows, k=3).select("row_id", "article_id", F.lit("small").alias("form"), "neighbours")
+    blocked = neighbours(rows, k=3, small_bytes=0, block_bytes=256 << 10)
+    both = small.union(blocked.select("row_id", "article_id", F.lit("blocked"), "neighbours"))
+    listed = F.transform("neighbours", lambda h: F.concat(h["id"], F.lit(":"), h["row"].cast("string")))
+    return both.select("row_id", "article_id", "form", F.array_join(listed, ",").alias("neighbours"))
+
+
 def sql_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = SearchSession(spark, view="articles_report")
     session.load(attach_vectors(enrich_articles(spark, sf_dir), article_vectors(spark, sf_dir)))
@@ -151,6 +190,7 @@ def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5("text_to_embed").alias("text_hash"),
         F.size("embedding").alias("dimensions"),
         F.round(norm, 6).alias("norm"),
+        _fold(F.col("embedding")).alias("vector"),
     )
 
 
@@ -172,6 +212,18 @@ def document_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def search_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents most like a text that is not among them."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("DOC"), F.col("doc_id").cast("string")).alias("article_id"),
+        F.col("source").alias("title"),
+        F.col("text").alias("summary"),
+    )
+    session = SearchSession(spark, HashedWords(), view="articles_by_text")
+    session.load(docs)
+    return _rounded(session.find_similar(QUERY_TEXT, 10))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "raw-csv")
     write_articles_csv(raw_articles(spark, sf_dir), path)
@@ -240,38 +292,43 @@ def full_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The similarity export of the enriched articles that have a vector."""
-    vectors = article_vectors(spark, sf_dir).select("article_id", "embedding")
-    articles = store_articles(enrich_articles(spark, sf_dir).join(vectors, "article_id"), "articles_export")
-    out = similarity_export(articles)
+    """The similarity export of all enriched articles, of which some have a vector."""
+    articles = attach_vectors(enrich_articles(spark, sf_dir), article_vectors(spark, sf_dir))
+    out = similarity_export(store_articles(articles, "articles_export"))
     return out.select(
         *FLAT_EXPORT,
-        F.size("embedding").alias("dimensions"),
+        F.coalesce(F.size("embedding"), F.lit(0)).alias("dimensions"),
         F.array_join("top_similar_articles", ",").alias("top_similar_articles"),
     )
 
 
 def similarity_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole similarity job from Parquet to CSV, vectors made from text."""
+    """The whole similarity job from Parquet to CSV over all enriched articles, vectors made from text."""
     enriched, out = (new_folder(spark, p) for p in ("job-enriched", "job-export"))
-    vectors = article_vectors(spark, sf_dir).select("article_id")
-    write_enriched(enrich_articles(spark, sf_dir).join(vectors, "article_id"), enriched, "parquet")
+    write_enriched(enrich_articles(spark, sf_dir), enriched, "parquet")
     run_similarity_export(spark, enriched, out, input_format="parquet")
     back = read_articles_csv(spark, out)
+    numbers = F.from_json("embedding", "array<double>")
     return back.select(
         "article_id",
         "industry",
         F.col("revenue_usd").cast("bigint").alias("revenue_usd"),
-        F.size(F.from_json("embedding", "array<double>")).alias("dimensions"),
-        F.size(F.from_json("top_similar_articles", "array<string>")).alias("listed"),
+        F.size(numbers).alias("dimensions"),
+        _fold(numbers).alias("vector"),
+        F.array_join(F.from_json("top_similar_articles", "array<string>"), ",").alias("top_similar_articles"),
     )
 
 
+def _fold(vector: Column) -> Column:
+    """A number that depends on every entry of a vector and its place."""
+    weighted = F.transform(vector, lambda x, i: x * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x), 4)
+
+
 def search_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load, search among filtered rows, and show the hits."""
     session = SearchSession(spark, view="articles_session")
-    vectors = article_vectors(spark, sf_dir).select("article_id", "embedding")
-    session.load(enrich_articles(spark, sf_dir).join(vectors, "article_id"))
+    session.load(enrich_articles(spark, sf_dir), article_vectors(spark, sf_dir))
     hits = session.hybrid_search(QUERY_ID, "pub_year BETWEEN 2018 AND 2022 AND revenue_usd >= 100000", 5)
     shown = session.hydrate(hits, "company_name", "category", "pub_year", "revenue_usd")
     return _rounded(shown, "company_name", "category", "pub_year", "revenue_usd")
@@ -283,6 +340,8 @@ _ALL = [
     clean_category,
     validate_counts,
     validate_rejects,
+    validate_enriched,
+    missing_columns,
     resolve_company,
     enrich_articles,
     relevance_filter,
@@ -295,9 +354,11 @@ _ALL = [
     hybrid_search,
     top3_neighbours,
     top3_neighbours_blocked,
+    top3_repeated_ids,
     sql_report,
     embed_documents,
     document_neighbours,
+    search_by_text,
     csv_roundtrip,
     export_json_arrays,
     company_dimension,

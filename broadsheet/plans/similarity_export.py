@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from broadsheet.operators.embedding import Embedder, HashedWords, embed, text_to_embed
 from broadsheet.operators.relevance import export_condition
-from broadsheet.operators.similarity import neighbour_ids, neighbours
-from broadsheet.plans.search import KEY, store_articles
+from broadsheet.operators.similarity import ROW, neighbour_ids, neighbours, with_rows
+from broadsheet.plans.search import store_articles
 from broadsheet.schema import EXPORT_COLUMNS
 from broadsheet.sources.articles import read_enriched
 from broadsheet.sources.exports import write_export
@@ -25,10 +25,10 @@ def similarity_export(articles: DataFrame, condition: Column | None = None, k: i
     Neighbours come from the whole table, so a listed id may not be exported
     itself; they are looked for only for the rows that are.
     """
-    kept = articles.where(export_condition() if condition is None else condition)
-    # Rows that share an id share one list.
-    near = neighbour_ids(neighbours(articles, kept, k)).dropDuplicates([KEY])
-    return export_projection(kept.join(near, KEY, "left"))
+    articles = with_rows(articles)
+    wanted = export_condition() if condition is None else condition
+    near = neighbour_ids(neighbours(articles, wanted, k)).select(ROW, "top_similar_articles")
+    return export_projection(articles.where(wanted).join(near, ROW, "left"))
 
 
 def run_similarity_export(
