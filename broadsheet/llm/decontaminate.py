@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import ascii_lower, words
-from broadsheet.session import materialise
+from broadsheet.session import materialise, settled
 
 WINDOW = 10
 TABLE_BYTES = 8 << 20
@@ -151,7 +151,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.0, **options) -> DataFrame:
     """Rows of ``docs`` of whose words no more than ``most_share`` are hit."""
-    d = contamination(docs, benchmark, **options)
+    # Settled: the filter must not sink below the scan and repeat it for every window.
+    d = settled(contamination(docs, benchmark, **options))
     return d.where(F.col("n_hit") <= most_share * F.col("n_words")).select("_doc.*")
 
 

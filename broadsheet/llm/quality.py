@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import SPACE, words
+from broadsheet.session import settled
 
 SYMBOLS = "#*$%&|<>"
 #: Very frequent words of the languages the rules know.
@@ -123,4 +124,5 @@ def quality(docs: DataFrame, text: str = "text", rules: list[tuple] = RULES) ->
 
 def keep_good(docs: DataFrame, text: str = "text", rules: list[tuple] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns."""
-    return quality(docs, text, rules).where("kept").select("_doc.*")
+    # Settled: the filter must not sink below the measures and repeat them.
+    return settled(quality(docs, text, rules)).where("kept").select("_doc.*")
