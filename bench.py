@@ -20,6 +20,7 @@ HEADLINE = [
     "clean_dates",
     "validate_counts",
     "resolve_company",
+    "resolve_company_large",
     "enrich_articles",
     "relevance_filter",
     "full_enrichment",

@@ -1,11 +1,10 @@
 """Match article company names to the company dimension and attach its fields.
 
-Names are resolved once per distinct value: exact, then ignoring case, then by
-the best similarity ratio.  Two sizes decide how.  A dimension of at most
-``SMALL_DIMENSION`` keys is sent to every task; a larger one is joined on
-shared characters.  A name map of at most ``SMALL_NAME_MAP`` rows is broadcast
-to the articles; a larger one is joined by shuffle with its names salted,
-because one company may account for much of the news.
+Names are resolved once per distinct value, by joins: exact, then ignoring case,
+then by the best similarity ratio among the keys that share enough pairs of
+letters to reach it.  Spark sizes the joins.  The map from names to fields goes
+to the articles by broadcast up to ``BROADCAST_BYTES`` (measured); beyond that
+the names that are measured to be hot do, and the others are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -18,13 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.schema import COMPANY_FIELDS
-from broadsheet.session import at_most, materialise, settled
+from broadsheet.session import materialise, settled
 
 CUTOFF = 0.75
-SMALL_DIMENSION = 2_000
-SMALL_NAME_MAP = 200_000
-SALTS = 32
-TOKEN_SALTS = 8
+BROADCAST_BYTES = 64 << 20
+# A name is hot when it has more than this share of all rows: so there are at
+# most as many hot names as the share goes into one, whatever the data.
+HOT_SHARE = 1 / 1000
 
 
 def _ratio(key: str, name: str, cutoff: float) -> float | None:
@@ -42,29 +41,26 @@ def _check_cutoff(cutoff: float) -> None:
         raise ValueError(f"cutoff must lie in [0, 1]: {cutoff}")
 
 
-def resolve_small(names: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
-    """Key and kind of match per distinct name, every key being known to every
-    task.  ``keys`` are in dimension order: of keys that differ in case only
-    the last one counts."""
-    exact = set(keys)
-    folded = {k.lower(): k for k in keys}
+def _needed(length: int, cutoff: float) -> int:
+    """Least number of common letter pairs of two texts of that total length.
 
-    def match(name: str) -> tuple[str | None, str | None]:
-        if name in exact:
-            return name, "exact"
-        if name.lower() in folded:
-            return folded[name.lower()], "ignoring case"
-        scored = [(r, k) for k in keys if (r := _ratio(k, name, cutoff)) is not None]
-        return (max(scored)[1], "similar") if scored else (None, None)
+    A ratio of at least ``cutoff`` means ``m`` matching letters with
+    ``2 m / length >= cutoff``, in at most ``length - 2 m + 1`` runs.  A run of
+    ``r`` letters has ``r - 1`` pairs.
+    """
+    m = math.ceil(cutoff * length / 2 - 1e-9)
+    return 3 * m - length - 1
 
-    @F.pandas_udf("company_key string, match_kind string")
-    def matches(batch: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([match(n) for n in batch], columns=["company_key", "match_kind"], dtype=object)
 
-    # Unsettled, a filter on the key would sink below the distinct names and
-    # match every article's name instead.
-    matched = settled(names.select("name", matches("name").alias("m")))
-    return matched.select("name", "m.company_key", "m.match_kind")
+def _pairs_of_letters(text: str) -> Column:
+    """Numbered letter pairs: ``("an", 1)`` is the second "an"."""
+    size = F.char_length(text)
+    pairs = F.transform(
+        F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.col(text).substr(i, F.lit(2)),
+    )
+    ordered = F.sort_array(pairs)
+    return F.transform(ordered, lambda c, i: F.concat(c, (i - F.array_position(ordered, c) + 1).cast("string")))
 
 
 def _characters(text: str, size: str, ratio: float) -> Column:
@@ -86,34 +82,43 @@ def _characters(text: str, size: str, ratio: float) -> Column:
     return F.slice(numbered, 1, keep.cast("int"))
 
 
-def fuzzy_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
-    """Best key per name when the dimension is too large to send around.
+def candidates(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
+    """``(name, company_key)`` pairs whose ratio may reach ``cutoff``; misses none.
 
-    Candidates share a character token of their prefixes and have a possible
-    length; the ratio then decides.  No pair that could qualify is missed.
+    Pairs of texts that must share letter pairs are joined on those and kept
+    when they share enough of them.  Texts too short for that, or any at low
+    cutoffs, are joined on the letters that a good enough partner must share.
     """
     dim = dimension.select("company_key", F.char_length("company_key").alias("klen")).where("klen > 0")
     who = names.select("name", F.char_length("name").alias("nlen")).where("nlen > 0")
-    left = who.withColumn("token", F.explode(_characters("name", "nlen", cutoff)))
-    right = dim.withColumn("token", F.explode(_characters("company_key", "klen", cutoff)))
-    if cutoff > 0:
-        # Lengths of partners differ by this factor at most: join neighbouring
-        # classes of lengths only, which also splits frequent tokens.
-        step = math.log((2 - cutoff) / cutoff) + 1e-9 if cutoff < 1 else 1e-9
-        step = max(step, 0.05)
-        left = left.withColumn("cls", F.floor(F.log("nlen") / step))
-        right = right.withColumn("own", F.floor(F.log("klen") / step)).withColumn(
-            "cls", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1))
-        )
-        shared, possible = ["token", "cls"], (
-            2 * F.least("nlen", "klen") >= cutoff * (F.col("nlen") + F.col("klen")) - 1e-9
-        )
-    else:
-        shared, possible = ["token"], F.lit(True)
-    # Frequent tokens are spread over salts: names take one, keys take all.
-    left = left.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(TOKEN_SALTS)).cast("int"))
-    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_SALTS - 1))))
-    pairs = left.join(right, [*shared, "salt"]).where(possible).select("name", "company_key").distinct()
+    both = F.col("nlen") + F.col("klen")
+    possible = 2 * F.least("nlen", "klen") >= cutoff * both - 1e-9
+    needed = 3 * F.ceil(cutoff * both / 2 - 1e-9) - both - 1
+    found = (
+        who.withColumn("pair", F.explode(_pairs_of_letters("name")))
+        .join(dim.withColumn("pair", F.explode(_pairs_of_letters("company_key"))), "pair")
+        .where(possible & (needed >= 1))
+        .groupBy("name", "company_key", needed.alias("needed"))
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where("shared >= needed")
+        .select("name", "company_key")
+    )
+    # Above a cutoff of 2/3 only texts up to some length can do without pairs.
+    steep = cutoff > 2 / 3 + 1e-6
+    longest = max((n for n in range(1, math.ceil(6 / (3 * cutoff - 2)) + 3) if _needed(n, cutoff) < 1), default=0) if steep else None
+    if longest is not None:
+        who, dim = who.where(F.col("nlen") < longest), dim.where(F.col("klen") < longest)
+    by_letter = (
+        who.withColumn("letter", F.explode(_characters("name", "nlen", cutoff)))
+        .join(dim.withColumn("letter", F.explode(_characters("company_key", "klen", cutoff))), "letter")
+        .where(possible & (needed < 1))
+        .select("name", "company_key")
+    )
+    return found.union(by_letter).distinct()
+
+
+def best_similar(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
+    """The most similar key per name, if it reaches ``cutoff``."""
 
     @F.pandas_udf("double")
     def ratio(key: pd.Series, name: pd.Series) -> pd.Series:
@@ -121,8 +126,9 @@ def fuzzy_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFr
 
     # Settled, so that the filter cannot sink below the distinct pairs and have
     # repeated pairs scored again.
+    pairs = candidates(names, dimension, cutoff)
     scored = settled(pairs.withColumn("ratio", ratio("company_key", "name"))).where(F.col("ratio").isNotNull())
-    best = scored.groupBy("name").agg(F.max_by("company_key", F.struct("ratio", "company_key")).alias("fuzzy_key"))
+    best = scored.groupBy("name").agg(F.max_by("company_key", F.struct("ratio", "company_key")).alias("similar_key"))
     if cutoff > 0:
         return best
     # With no cutoff a name that shares no character still takes the largest key.
@@ -131,60 +137,50 @@ def fuzzy_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFr
         names.select("name")
         .join(best, "name", "left")
         .join(F.broadcast(last))
-        .select("name", F.coalesce("fuzzy_key", "last_key").alias("fuzzy_key"))
+        .select("name", F.coalesce("similar_key", "last_key").alias("similar_key"))
     )
 
 
-def resolve_names(
-    names: DataFrame,
-    dimension: DataFrame,
-    cutoff: float = CUTOFF,
-    small_dimension: int = SMALL_DIMENSION,
-) -> DataFrame:
-    """Key and kind of match for each distinct ``name``; null when unmatched.
+def resolve_names(names: DataFrame, dimension: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """Key and kind of match for each distinct ``name`` and its ``rows``; nulls when unmatched.
 
-    An empty company key is never matched.
+    An empty company key is never matched.  Of keys that differ in case only the
+    last one counts.
     """
     _check_cutoff(cutoff)
     dim = dimension.where(F.coalesce(F.col("company_key") != "", F.lit(False)))
-    distinct = names.where(F.col("name").isNotNull()).distinct()
-    known = dim.select("company_key", "pos").limit(small_dimension + 1).collect()
-    if len(known) <= small_dimension:
-        return resolve_small(distinct, [r.company_key for r in sorted(known, key=lambda r: r.pos)], cutoff)
-    return resolve_large(distinct, dim, cutoff)
-
-
-def resolve_large(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
-    """As :func:`resolve_small`, by joins.  Names are distinct, so no join key
-    is more frequent than the dimension makes it."""
-    keys = dimension.select(F.col("company_key").alias("exact_key"))
-    folded = dimension.groupBy(F.lower("company_key").alias("folded")).agg(
-        F.max_by("company_key", "pos").alias("folded_key")
-    )
+    distinct = names.where(F.col("name").isNotNull()).groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    keys = dim.select(F.col("company_key").alias("exact_key"))
+    folded = dim.groupBy(F.lower("company_key").alias("folded")).agg(F.max_by("company_key", "pos").alias("folded_key"))
     known = materialise(
-        names.join(keys, F.col("name") == F.col("exact_key"), "left")
+        distinct.join(keys, F.col("name") == F.col("exact_key"), "left")
         .join(folded, F.lower("name") == F.col("folded"), "left")
-        .select("name", "exact_key", "folded_key")
+        .select("name", "rows", "exact_key", "folded_key")
     )
-    open_names = known.where("exact_key IS NULL AND folded_key IS NULL").select("name")
-    fuzzy = fuzzy_large(open_names, dimension, cutoff)
+    similar = best_similar(known.where("exact_key IS NULL AND folded_key IS NULL").select("name"), dim, cutoff)
     kind = (
         F.when(F.col("exact_key").isNotNull(), "exact")
         .when(F.col("folded_key").isNotNull(), "ignoring case")
-        .when(F.col("fuzzy_key").isNotNull(), "similar")
+        .when(F.col("similar_key").isNotNull(), "similar")
     )
-    return known.join(fuzzy, "name", "left").select(
-        "name", F.coalesce("exact_key", "folded_key", "fuzzy_key").alias("company_key"), kind.alias("match_kind")
+    return known.join(similar, "name", "left").select(
+        "name", "rows", F.coalesce("exact_key", "folded_key", "similar_key").alias("company_key"), kind.alias("match_kind")
     )
 
 
-def _salted_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on ``key`` with each key's left rows spread over ``SALTS``
-    partitions.  The salt is a function of the row, so a repeated task
-    repeats it."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+def _left_join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Left join of ``right`` (unique keys), its rows ``hot`` by broadcast and the others by shuffle.
+
+    Rows that the broadcast served go through the shuffle under a salt of their
+    own, which no row of ``right`` has, so they spread evenly.
+    """
+    fields = [c for c in right.columns if c != key]
+    served = left.join(F.broadcast(hot.select(key, *[F.col(c).alias(f"_hot_{c}") for c in fields])), key, "left")
+    salt = F.when(F.col("_hot__hit").isNotNull(), F.xxhash64(*left.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    # Zero for every row, but not a constant: that would drop the salt from the join key.
+    none = F.pmod(F.xxhash64(key), F.lit(1))
+    joined = served.withColumn("_salt", salt).join(right.withColumn("_salt", none), [key, "_salt"], "left")
+    return joined.select(*[F.col(c) for c in left.columns], *[F.coalesce(f"_hot_{c}", c).alias(c) for c in fields])
 
 
 def attach_companies(
@@ -192,8 +188,7 @@ def attach_companies(
     dimension: DataFrame,
     cutoff: float = CUTOFF,
     names: DataFrame | None = None,
-    small_dimension: int = SMALL_DIMENSION,
-    small_name_map: int = SMALL_NAME_MAP,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join of the six company fields and ``metadata_matched``.
 
@@ -204,16 +199,17 @@ def attach_companies(
     if names is None:
         names = articles.select(F.col("company_name").alias("name"))
     fields = dimension.select("company_key", *[F.col(n).alias(f"meta_{n}") for n in COMPANY_FIELDS])
-    if at_most(dimension, small_dimension):
-        fields = F.broadcast(fields)
-    matched = resolve_names(names, dimension, cutoff, small_dimension).where("company_key IS NOT NULL")
-    name_map = materialise(
-        matched.join(fields, "company_key").drop("company_key", "match_kind").withColumnRenamed("name", "company_name")
-    ).withColumn("_hit", F.lit(True))
-    if at_most(name_map, small_name_map):
+    matched = resolve_names(names, dimension, cutoff).where("company_key IS NOT NULL")
+    stored = materialise(matched.join(fields, "company_key").drop("company_key", "match_kind").withColumnRenamed("name", "company_name"))
+    texts = [f.name for f in stored.schema.fields if f.dataType.simpleString() == "string"]
+    size = F.sum(64 + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0)))
+    total = stored.agg(size.alias("bytes"), F.sum("rows").alias("rows")).first()
+    name_map = stored.drop("rows").withColumn("_hit", F.lit(True))
+    if (total["bytes"] or 0) <= broadcast_bytes:
         joined = articles.join(F.broadcast(name_map), "company_name", "left")
     else:
-        joined = _salted_left_join(articles, name_map, "company_name")
+        hot = stored.where(F.col("rows") > HOT_SHARE * total["rows"]).drop("rows").withColumn("_hit", F.lit(True))
+        joined = _left_join_hot(articles, name_map, "company_name", hot)
     return joined.select(
         *[F.col(c) for c in articles.columns],
         F.coalesce("_hit", F.lit(False)).alias("metadata_matched"),

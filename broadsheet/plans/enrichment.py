@@ -10,7 +10,7 @@ from broadsheet.operators.companies import CUTOFF, attach_companies, with_derive
 from broadsheet.operators.relevance import DEFAULT_SETS, RelevanceSets, relevant
 from broadsheet.operators.reporting import outcome_counters
 from broadsheet.operators.validation import reject_table, tag_stage
-from broadsheet.session import settled
+from broadsheet.session import new_folder, settled
 from broadsheet.sources.articles import read_articles_csv
 from broadsheet.sources.companies import read_companies
 from broadsheet.sources.exports import output_projection, write_enriched
@@ -65,18 +65,26 @@ def run_enrichment(
     rejects_path: str | None = None,
     output_format: str = "csv",
     multi_line: bool = True,
+    input_format: str = "csv",
 ) -> dict[str, int]:
     """Run the whole job and return its counters.
 
-    ``rejects_path`` also stores one row per fault of each refused row; that
-    reads the input a second time.
+    Parquet input is read by column, so the pass over the names is cheap.
+    ``rejects_path`` also stores one row per fault of each refused row; export
+    and rejects then come from one stored table of tagged rows.
     """
-    raw = read_articles_csv(spark, input_path, multi_line)
+    if input_format not in ("csv", "parquet"):
+        raise ValueError(f"unknown format {input_format!r}")
+    raw = spark.read.parquet(input_path) if input_format == "parquet" else read_articles_csv(spark, input_path, multi_line)
     dimension = read_companies(spark, companies_path)
     chosen = (sets or DEFAULT_SETS) if apply_filter else None
     tagged = enrich_tagged(raw, dimension, chosen)
     counters = Observation()
     watched = tagged.observe(counters, *outcome_counters())
+    if rejects_path is not None:
+        folder = new_folder(spark, "tagged")
+        watched.write.parquet(folder)
+        tagged = watched = spark.read.parquet(folder)
     write_enriched(watched.where(F.col("outcome").isNull()), output_path, output_format)
     if rejects_path is not None:
         reject_table(tagged).write.mode("overwrite").parquet(rejects_path)

@@ -59,7 +59,7 @@ base AS (
            CAST(CAST(o_orderdate AS DATE) + INTERVAL {YEARS_AHEAD} YEAR AS DATE) AS d,
            CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE (o_orderkey // 3) % {len(COMPANY_NAMES)} END AS INTEGER) AS ci,
            CAST((o_orderkey // 63) % {NAME_FORMS} AS INTEGER) AS form,
-           o_orderkey % 10 AS rv, (o_orderkey // 10) % 8 AS dv
+           o_orderkey % 10 AS rv, (o_orderkey // 10) % 9 AS dv
     FROM orders),
 amounts AS (
     SELECT *, CAST(n AS DOUBLE) AS x,
@@ -188,9 +188,9 @@ _NEWS_TEXTS = "SELECT article_id, coalesce(title, '') || '. ' || coalesce(summar
 def _top3(queries: str) -> str:
     return f"""
     SELECT article_id, string_agg(id, ',' ORDER BY rank) AS top_similar_articles FROM (
-        SELECT q.article_id, s.article_id AS id,
-               row_number() OVER (PARTITION BY q.article_id ORDER BY {_cosine('q.e', 's.e')} DESC, s.article_id) AS rank
-        FROM (SELECT * FROM space WHERE {queries}) q JOIN space s ON q.article_id <> s.article_id)
+        SELECT article_id, id, row_number() OVER (PARTITION BY article_id ORDER BY score DESC, id) AS rank FROM (
+            SELECT q.article_id, s.article_id AS id, {_cosine('q.e', 's.e')} AS score
+            FROM (SELECT * FROM space WHERE {queries}) q JOIN space s ON q.article_id <> s.article_id))
     WHERE rank <= 3 GROUP BY article_id"""
 
 
@@ -222,8 +222,24 @@ EXPECTED = {
         UNION ALL SELECT * FROM (VALUES ('clean', 'pub_year')) f(stage, field), (SELECT count(*) AS rows FROM enriched)"""
     ),
     "resolve_company": _with(
-        """SELECT DISTINCT nm.name, nm.company_key, nm.match_kind
-        FROM base b JOIN names nm ON nm.ci = b.ci AND nm.form = b.form"""
+        """SELECT nm.name, count(*) AS rows, nm.company_key, nm.match_kind
+        FROM base b JOIN names nm ON nm.ci = b.ci AND nm.form = b.form GROUP BY nm.name, nm.company_key, nm.match_kind"""
+    ),
+    "resolve_company_large": """
+        WITH letters AS (SELECT c_custkey AS k, translate(md5(CAST(c_custkey AS VARCHAR)), '0123456789abcdef', 'aeioubdfgklmnrst') AS x FROM customer),
+        named AS (SELECT k, upper(x[1:1]) || x[2:7] || ' ' || upper(x[8:8]) || x[9:15] AS n FROM letters)
+        SELECT CASE k % 4 WHEN 0 THEN n WHEN 1 THEN upper(n) WHEN 2 THEN n[1:3] || n[5:] ELSE 'Zzxq' || k || 'wvyjh' END AS name,
+               CAST(1 AS BIGINT) AS rows, CASE WHEN k % 4 < 3 THEN n END AS company_key,
+               CASE k % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'ignoring case' WHEN 2 THEN 'similar' END AS match_kind
+        FROM named""",
+    "attach_both_forms": _with(
+        """SELECT nm.name AS company_name, c.company_key IS NOT NULL AS metadata_matched, CAST(c.founded_year AS INTEGER) AS meta_founded_year,
+        c.stock_ticker AS meta_stock_ticker, f.form, count(*) AS articles
+        FROM base b JOIN names nm ON nm.ci = b.ci AND nm.form = b.form LEFT JOIN companies c USING (company_key),
+        (VALUES ('broadcast'), ('shuffle')) f(form) GROUP BY ALL"""
+    ),
+    "enrichment_rejects": _with(
+        f"SELECT article_id, 'kept' AS stage, '' AS rule FROM enriched UNION ALL SELECT article_id, stage, rule FROM ({_FAULTS})"
     ),
     "enrich_articles": _with(f"SELECT {_columns()} FROM enriched"),
     "relevance_filter": _with(f"SELECT article_id, category, meta_industry FROM enriched WHERE {_RELEVANT}"),
@@ -275,7 +291,7 @@ EXPECTED = {
         CASE dv WHEN 0 THEN strftime(b.d, '%Y-%m-%d') WHEN 1 THEN strftime(b.d, '%Y-%m-%dT00:00:00Z')
             WHEN 2 THEN strftime(b.d, '%m/%d/%Y') WHEN 3 THEN strftime(b.d, '%d/%m/%Y')
             WHEN 4 THEN strftime(b.d, '%d-%m-%Y') WHEN 5 THEN strftime(b.d, '%-d %b %Y')
-            WHEN 6 THEN strftime(b.d, '%B %-d, %Y')
+            WHEN 6 THEN strftime(b.d, '%B %-d, %Y') WHEN 8 THEN strftime(b.d, '%b %-d, %Y')
             ELSE CASE WHEN b.k % 4 = 0 THEN 'N/A' ELSE strftime(b.d, '%d %B %Y') END END AS published_date,
         CASE b.k % 3 WHEN 0 THEN c WHEN 1 THEN upper(c) ELSE chr(9) || c || '  ' END AS category,
         summary, url, coalesce(author, '') AS author,
@@ -294,7 +310,7 @@ EXPECTED = {
         WHERE rank <= 3 GROUP BY article_id, v.e"""
     ),
     "company_dimension": """
-        SELECT s_name AS company_key, CAST(1950 + s_suppkey % 70 AS INTEGER) AS founded_year,
+        SELECT s_name AS company_key, CAST((CASE WHEN s_suppkey % 10 = 0 THEN 1900 ELSE 1950 END) + s_suppkey % 70 AS INTEGER) AS founded_year,
                'City, ' || s_nationkey AS headquarters,
                CAST(floor(abs(s_acctbal) * 10) AS INTEGER) AS employee_count,
                'Industry ' || (s_suppkey % 5) AS industry, s_suppkey % 2 = 0 AS is_public,

@@ -100,7 +100,8 @@ def _date(k: Column) -> Column:
     ]
     spelled = [F.date_format(day, p) for p in patterns]
     spelled.append(F.when(k % 4 == 0, F.lit("N/A")).otherwise(F.date_format(day, "dd MMMM yyyy")))
-    return _choice(_div(k, 10) % 8, spelled)
+    spelled.append(F.date_format(day, "MMM d, yyyy"))
+    return _choice(_div(k, 10) % 9, spelled)
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.revenue import with_revenue
 from broadsheet.operators.cleaning import with_category, with_dates
-from broadsheet.operators.companies import resolve_names
+from broadsheet.operators.companies import BROADCAST_BYTES, attach_companies, resolve_names
 from broadsheet.operators.embedding import HashedWords, embed, text_to_embed
 from broadsheet.operators.relevance import DEFAULT_SETS, export_condition, keep_relevant
 from broadsheet.operators.reporting import outcome_counters, profile, row_count
@@ -19,10 +19,10 @@ from broadsheet.plans.enrichment import enrich, enrich_tagged, run_enrichment
 from broadsheet.plans.order_articles import article_vectors, raw_articles, table
 from broadsheet.plans.search import SearchSession, attach_vectors, store_articles
 from broadsheet.plans.similarity_export import export_projection, run_similarity_export, similarity_export
-from broadsheet.schema import EXPORT_COLUMNS, OUTPUT_COLUMNS, RAW_COLUMNS
+from broadsheet.schema import COMPANY_FIELDS, EXPORT_COLUMNS, OUTPUT_COLUMNS, RAW_COLUMNS
 from broadsheet.session import configure, new_folder, spread
 from broadsheet.sources.articles import read_articles_csv, read_enriched
-from broadsheet.sources.companies import default_companies, parse_companies
+from broadsheet.sources.companies import default_companies, parse_companies, write_companies_json
 from broadsheet.sources.exports import write_articles_csv, write_enriched, write_export
 
 QUERY_ID = "ART42"
@@ -244,20 +244,23 @@ def export_json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def company_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per supplier, read as company rows."""
+    """One JSON document per supplier, read as company rows; every tenth supplier is given again with other values."""
     key = F.col("s_suppkey")
-    fields = F.struct(
-        (F.lit(1950) + key % 70).alias("founded_year"),
-        F.concat(F.lit("City, "), F.col("s_nationkey").cast("string")).alias("headquarters"),
-        F.floor(F.abs("s_acctbal") * 10).alias("employee_count"),
-        F.concat(F.lit("Industry "), (key % 5).cast("string")).alias("industry"),
-        (key % 2 == 0).alias("is_public"),
-        F.when(key % 3 != 0, F.concat(F.lit("T"), key.cast("string"))).alias("stock_ticker"),
-    )
-    documents = table(spark, sf_dir, "supplier").select(
-        key.alias("doc"), F.to_json(F.create_map("s_name", fields)).alias("text")
-    )
-    return parse_companies(documents, "text", F.col("doc")).drop("pos")
+
+    def documents(suppliers: DataFrame, since: int, order: Column) -> DataFrame:
+        fields = F.struct(
+            (F.lit(since) + key % 70).alias("founded_year"),
+            F.concat(F.lit("City, "), F.col("s_nationkey").cast("string")).alias("headquarters"),
+            F.floor(F.abs("s_acctbal") * 10).alias("employee_count"),
+            F.concat(F.lit("Industry "), (key % 5).cast("string")).alias("industry"),
+            (key % 2 == 0).alias("is_public"),
+            F.when(key % 3 != 0, F.concat(F.lit("T"), key.cast("string"))).alias("stock_ticker"),
+        )
+        return suppliers.select(order.alias("doc"), F.to_json(F.create_map("s_name", fields)).alias("text"))
+
+    suppliers = table(spark, sf_dir, "supplier")
+    again = documents(suppliers.where(key % 10 == 0), 1900, key + 1_000_000)
+    return parse_companies(documents(suppliers, 1950, key).union(again), "text", F.col("doc")).drop("pos")
 
 
 def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,15 +285,59 @@ def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole enrichment job from CSV to CSV, with the relevance filter."""
+    """The whole enrichment job from CSV and a JSON file to CSV, with the relevance filter."""
     raw, companies, out = (new_folder(spark, p) for p in ("job-raw", "companies", "job-out"))
     write_articles_csv(raw_articles(spark, sf_dir), raw)
-    companies += ".parquet"
-    default_companies(spark).coalesce(1).write.parquet(companies)
+    write_companies_json(default_companies(spark), companies)
     run_enrichment(spark, raw, companies, out, apply_filter=True)
     return read_enriched(spark, out).select(*OUTPUT_COLUMNS)
 
 
+def enrichment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrichment job from Parquet with its table of refused rows."""
+    raw, companies, out, rejects = (new_folder(spark, p) for p in ("job-raw", "companies", "job-out", "job-rejects"))
+    raw_articles(spark, sf_dir).write.parquet(raw)
+    write_companies_json(default_companies(spark), companies)
+    run_enrichment(spark, raw, companies, out, rejects_path=rejects, output_format="parquet", input_format="parquet")
+    kept = spark.read.parquet(out).select("article_id", F.lit("kept").alias("stage"), F.lit("").alias("rule"))
+    return kept.union(spark.read.parquet(rejects).select("article_id", "stage", "rule"))
+
+
+def _named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A company name of two invented words for each customer."""
+    digest = F.md5(F.col("c_custkey").cast("string"))
+    letters = F.translate(digest, "0123456789abcdef", "aeioubdfgklmnrst")
+    name = F.concat(F.initcap(F.substring(letters, 1, 7)), F.lit(" "), F.initcap(F.substring(letters, 8, 8)))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), name.alias("name"))
+
+
+def resolve_company_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelled names against a dimension with a key for each customer."""
+    named = _named_customers(spark, sf_dir)
+    empty = [F.lit(None).cast(kind).alias(n) for n, kind in COMPANY_FIELDS.items()]
+    dimension = named.select(F.col("name").alias("company_key"), F.col("k").alias("pos"), *empty)
+    n = F.col("name")
+    spelled = (
+        F.when(F.col("k") % 4 == 0, n)
+        .when(F.col("k") % 4 == 1, F.upper(n))
+        .when(F.col("k") % 4 == 2, F.concat(F.substring(n, 1, 3), F.substring(n, 5, 20)))
+        .otherwise(F.concat(F.lit("Zzxq"), F.col("k").cast("string"), F.lit("wvyjh")))
+    )
+    return resolve_names(named.select(spelled.alias("name")), dimension)
+
+
+def attach_both_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company fields joined by broadcast and by shuffle, over all articles."""
+    articles = raw_articles(spark, sf_dir).select("article_id", "company_name")
+    out = None
+    for form, most in (("broadcast", BROADCAST_BYTES), ("shuffle", 0)):
+        found = attach_companies(articles, default_companies(spark), broadcast_bytes=most)
+        found = found.groupBy("company_name", "metadata_matched", "meta_founded_year", "meta_stock_ticker").agg(F.count(F.lit(1)).alias("articles"))
+        found = found.withColumn("form", F.lit(form))
+        out = found if out is None else out.union(found)
+    return out
+
+
 def similarity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The similarity export of all enriched articles, of which some have a vector."""
     articles = attach_vectors(enrich_articles(spark, sf_dir), article_vectors(spark, sf_dir))
@@ -343,6 +390,8 @@ _ALL = [
     validate_enriched,
     missing_columns,
     resolve_company,
+    resolve_company_large,
+    attach_both_forms,
     enrich_articles,
     relevance_filter,
     profile_category,
@@ -364,6 +413,7 @@ _ALL = [
     company_dimension,
     load_replace,
     full_enrichment,
+    enrichment_rejects,
     similarity_rows,
     similarity_job,
     search_session,

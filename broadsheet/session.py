@@ -34,6 +34,8 @@ def local_session(cpus: int | str = "*", name: str = "broadsheet") -> SparkSessi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.ui.showConsoleProgress", "false")
+        .config(SPREAD, "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -73,18 +75,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def at_most(df: DataFrame, bound: int) -> bool:
-    """Whether ``df`` has no more than ``bound`` rows; stops counting beyond."""
-    return df.limit(bound + 1).count() <= bound
+SPREAD = "spark.broadsheet.spread"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of few files.
+    """Use all cores on an input of few files, in sessions that ask for it.
 
-    Costs a shuffle only where the input has fewer splits than the cluster has
-    cores, which also means that it is small.
+    The benchmark and the tests do, because their tables are single files.  On a
+    cluster file splits decide.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get(SPREAD, "false") != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 

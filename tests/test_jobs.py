@@ -19,7 +19,7 @@ from broadsheet.plans.enrichment import enrich, run_enrichment
 from broadsheet.plans.search import SearchSession, duplicate_ids
 from broadsheet.plans.similarity_export import run_similarity_export, similarity_export
 from broadsheet.schema import EXPORT_COLUMNS, OUTPUT_COLUMNS, RAW_COLUMNS
-from broadsheet.session import at_most, shared_dir
+from broadsheet.session import shared_dir
 from broadsheet.sources.articles import read_articles_csv, read_enriched
 from broadsheet.sources.companies import COMPANIES, default_companies
 from broadsheet.sources.exports import write_enriched
@@ -84,9 +84,9 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
 def test_enrichment_job(spark, tmp_path, companies_json):
     rows = [
         RAW | {"article_id": "A1", "revenue": "$5.2B", "published_date": "21 Feb 2022"},
-        RAW | {"article_id": "A2", "company_name": "nvidia", "category": " big data ", "author": ""},
-        RAW | {"article_id": "A3", "company_name": "Stripe, Inc", "category": "SaaS"},
-        RAW | {"article_id": "A4", "company_name": "Nobody", "category": "hardware"},
+        RAW | {"article_id": "A2", "company_name": "kestrel insight", "category": " big data ", "author": ""},
+        RAW | {"article_id": "A3", "company_name": "Vela, Inc", "category": "SaaS"},
+        RAW | {"article_id": "A4", "company_name": "Nobody", "category": "gardening"},
         RAW | {"article_id": "A 5"},
         RAW | {"article_id": "A6", "url": "nowhere", "title": " "},
         RAW | {"article_id": "A7", "published_date": "N/A"},
@@ -100,8 +100,8 @@ def test_enrichment_job(spark, tmp_path, companies_json):
     assert list(out) and set(out) == {"A1", "A2", "A3", "A4", "A8"}
     assert list(out["A1"]) == OUTPUT_COLUMNS
     a1, a2, a4 = out["A1"], out["A2"], out["A4"]
-    assert (a1["revenue_usd"], a1["published_date"], a1["category"], a1["company_age"]) == ("5200000000", "2022-02-21", "FinTech", "19")
-    assert (a2["category"], a2["meta_industry"], a2["author"], a2["company_age"]) == ("Data_Analytics", "AI/ML", "", "3")
+    assert (a1["revenue_usd"], a1["published_date"], a1["category"], a1["company_age"]) == ("5200000000", "2022-02-21", "Cloud_Computing", "31")
+    assert (a2["category"], a2["meta_industry"], a2["author"], a2["company_age"]) == ("Data_Analytics", "Data Analytics", "", "10")
     assert (a4["metadata_matched"], a4["meta_industry"], a4["company_size_category"], a4["category"]) == ("false", "", "Unknown", "Unknown")
     assert counts == {
         "rows_read": 8, "failed_raw": 2, "rows_after_raw": 6, "failed_clean": 1, "revenue_errors": 1,
@@ -117,7 +117,7 @@ def test_enrichment_job(spark, tmp_path, companies_json):
 
 
 def test_enrichment_job_with_filter(spark, tmp_path, companies_json):
-    rows = [RAW | {"article_id": "A1"}, RAW | {"article_id": "A2", "company_name": "Uber"}, RAW | {"article_id": "A3", "company_name": "x", "category": "AI/ML"}]
+    rows = [RAW | {"article_id": "A1"}, RAW | {"article_id": "A2", "company_name": "Vela Payments"}, RAW | {"article_id": "A3", "company_name": "x", "category": "AI/ML"}]
     write_raw(tmp_path / "raw.csv", rows)
     args = (spark, str(tmp_path / "raw.csv"), companies_json, str(tmp_path / "out"))
     counts = run_enrichment(*args, apply_filter=True)
@@ -191,9 +191,9 @@ def test_relevance_configuration():
 # ---- search ----
 
 SEARCH = [
-    ("ART0001", "Scale AI Raises Series D", "Labeling data for models.", "Scale AI", 2020, "FinTech", 0, "AI/ML"),
-    ("ART0002", "DataRobot on Large Language Models", "Large language models for all.", "DataRobot", 2023, "SaaS_Software", 312151151, "Cloud Computing"),
-    ("ART0003", "NVIDIA financial results", "Record financial results for NVIDIA.", "NVIDIA", 2022, "AI_ML", 6649800000, "AI/ML"),
+    ("ART0001", "Crane pilots sign a pact", "Cameras label the boxes.", "Lumen Harbor", 2020, "FinTech", 0, "AI/ML"),
+    ("ART0002", "Orchard software on large vine maps", "Large vine maps for all.", "Cobalt Orchard", 2023, "SaaS_Software", 91_000_000, "Cloud Computing"),
+    ("ART0003", "Kestrel yearly numbers", "Record yearly numbers for Kestrel.", "Kestrel Insight", 2022, "AI_ML", 7_200_000_000, "AI/ML"),
 ]
 
 
@@ -216,9 +216,9 @@ def test_search(session):
     assert len(session.articles.first().embedding) == DIMENSIONS
     hits = session.find_similar("ART0001", 2).collect()
     assert len(hits) == 2 and hits[0].article_id == "ART0001" and abs(hits[0].score - 1) < 1e-9
-    assert session.find_similar("NVIDIA financial results", 1).first().article_id == "ART0003"
+    assert session.find_similar("Kestrel yearly numbers", 1).first().article_id == "ART0003"
     assert [r.article_id for r in session.hybrid_search("ART0002", "category = 'AI_ML'", 1).collect()] == ["ART0003"]
-    ranked = session.hybrid_search("large language models", "pub_year BETWEEN 2022 AND 2024 AND revenue_usd >= 50000000", 2)
+    ranked = session.hybrid_search("large vine maps", "pub_year BETWEEN 2022 AND 2024 AND revenue_usd >= 50000000", 2)
     assert [r.article_id for r in ranked.collect()] == ["ART0002", "ART0003"]
     assert session.hybrid_search("ART0001", "pub_year > 3000").count() == 0
     assert session.find_similar("ART0001", 0).count() == 0
@@ -229,7 +229,18 @@ def test_hydrated_hits_keep_their_order(session):
     hits = session.find_similar("ART0003", 3)
     shown = session.hydrate(hits, "title").collect()
     assert [r.article_id for r in shown] == [r.article_id for r in hits.collect()]
-    assert shown[0].title == "NVIDIA financial results"
+    assert shown[0].title == "Kestrel yearly numbers"
+
+
+def test_repeated_ids_lose_no_hit(spark, search_table):
+    """Each row of a repeated id is a hit of its own and keeps its own columns."""
+    session = SearchSession(spark, HashedWords(), view="repeated")
+    session.load(search_table.union(search_table.withColumn("title", F.concat(F.lit("Again: "), "title"))))
+    shown = session.hydrate(session.find_similar("Kestrel yearly numbers", 6), "title").collect()
+    assert len(shown) == 6 and len({(r.article_id, r.title) for r in shown}) == 6
+    out = similarity_export(session.articles).collect()
+    assert [r.article_id for r in out] == ["ART0003", "ART0003"]
+    assert all(len(r.top_similar_articles) == 3 and r.top_similar_articles[0] == "ART0003" for r in out)
 
 
 def test_search_plan_reads_only_what_it_needs(session):
@@ -333,4 +344,3 @@ def test_neighbours_come_from_the_whole_table(spark, search_table):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
-    assert at_most(spark.range(5), 5) and not at_most(spark.range(6), 5)
