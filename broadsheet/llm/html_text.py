@@ -139,6 +139,9 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
 def main_text(page: str | None) -> str:
     """The kept blocks of a page, joined by newlines."""
     lines = _lines(page or "")
+    if any(x is not None and x[2] for x in lines):
+        # A page that names its main element has gaps everywhere else.
+        lines = [x if x is not None and x[2] else None for x in lines]
     weight = [0 if x is None else max(x[1], SURGE if x[2] else 0) for x in lines]
     sums = [sum(weight[i : i + WINDOW]) for i in range(len(weight))]
     kept, at = [], 0
@@ -150,9 +153,6 @@ def main_text(page: str | None) -> str:
         while at < len(lines) and lines[at] is not None and sums[at]:
             kept.append(lines[at][0])
             at += 1
-    if any(x is not None and x[2] for x in lines):
-        # A page that names its main element has its text there.
-        kept = [x[0] for x in lines if x is not None and x[2]]
     return "\n".join(kept)
 
 
