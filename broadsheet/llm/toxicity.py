@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on character n-grams scaled by log-count ratios.
 
-Features are the distinct character n-grams of a lower-cased text, hashed.  Each
-is scaled by the naive Bayes log ratio of its smoothed document counts among
+Features are the distinct character n-grams of a lower-cased text, hashed, and
+those that occur ``REPEATED`` times or more once again.  Each is scaled by the naive Bayes log ratio of its smoothed document counts among
 toxic and clean texts, and a logistic regression is fitted on the scaled
 features.  Features whose shares differ no more than by chance are left out.
 
@@ -29,6 +29,7 @@ FIT_CHARS = 32768
 SIZES = (3, 4, 5, 6, 8)
 HASH_BITS = 20
 MIN_DOCS = 4
+REPEATED = 2
 MIN_Z = 4.0
 RIDGE = 1e-5
 MAX_FEATURES = 20_000
@@ -36,8 +37,10 @@ THRESHOLD = 0.7
 PIECE = 1 << 18
 
 
-def ngram_hashes(codes: np.ndarray, sizes: tuple[int, ...] = SIZES, bits: int = HASH_BITS) -> np.ndarray:
-    """Hash of every n-gram of a code point array, as feature numbers."""
+def ngram_hashes(
+    codes: np.ndarray, sizes: tuple[int, ...] = SIZES, bits: int = HASH_BITS, starts: int | None = None
+) -> np.ndarray:
+    """Hash of every n-gram of a code point array, as feature numbers; of those at the first ``starts`` places."""
     out = []
     total = np.zeros(len(codes), np.uint32)
     factor = 1
@@ -47,7 +50,8 @@ def ngram_hashes(codes: np.ndarray, sizes: tuple[int, ...] = SIZES, bits: int =
         factor = factor * 0x9E3779B1 & 0xFFFFFFFF
         total = total[: len(codes) - n + 1] + codes[n - 1 :] * np.uint32(factor)
         if n in sizes:
-            h = (total ^ (total >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * n)
+            part = total[:starts]
+            h = (part ^ (part >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * n)
             out.append((h ^ (h >> np.uint32(13))) >> np.uint32(32 - bits))
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
@@ -56,23 +60,37 @@ def code_points(text: str | None) -> np.ndarray:
     return np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def _features(text: str | None, keep: np.ndarray | None) -> np.ndarray:
-    """Distinct feature numbers of a whole text, in pieces of bounded size."""
-    codes, found = code_points(text), []
+def _repeated(features: np.ndarray) -> np.ndarray:
+    """Feature numbers that say that an n-gram occurs ``REPEATED`` times or more."""
+    return (features * np.uint32(0x9E3779B1) + np.uint32(0x7F4A7C15)) >> np.uint32(32 - HASH_BITS)
+
+
+def _features(text: str | None, look: np.ndarray | None) -> np.ndarray:
+    """Feature numbers of a whole text, taken in pieces of bounded size.
+
+    ``look`` marks the n-grams that matter; None takes all.
+    """
+    codes = code_points(text)
+    found, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
     for at in range(0, max(1, len(codes)), PIECE):
-        h = ngram_hashes(codes[at : at + PIECE + max(SIZES) - 1])
-        found.append(np.unique(h if keep is None else h[keep[h]]))
-    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+        h = ngram_hashes(codes[at : at + PIECE + max(SIZES) - 1], starts=PIECE)
+        one, n = np.unique(h if look is None else h[look[h]], return_counts=True)
+        if len(found):
+            found, where = np.unique(np.concatenate([found, one]), return_inverse=True)
+            counts = np.bincount(where, weights=np.concatenate([counts, n])).astype(np.int64)
+        else:
+            found, counts = one, n
+    return np.unique(np.concatenate([found, _repeated(found[counts >= REPEATED])]))
 
 
 @dataclass
 class NgramClassifier:
-    keep: np.ndarray
-    weight: np.ndarray
+    look: np.ndarray  # n-grams that matter, alone or repeated
+    weight: np.ndarray  # zero for features without a part in the score
     bias: float
 
     def score(self, text: str | None) -> float:
-        z = self.bias + float(self.weight[_features(text, self.keep)].sum())
+        z = self.bias + float(self.weight[_features(text, self.look)].sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -98,7 +116,9 @@ def fit_texts(texts: list[str], toxic: list[int], rounds: int = 200) -> NgramCla
     best = best[np.argsort(-z[best], kind="stable")[:MAX_FEATURES]]
     keep = np.zeros(size, bool)
     keep[best] = True
-    rows = [_features(t, keep) for t in texts]
+    every = np.arange(size, dtype=np.uint32)
+    look = keep | keep[_repeated(every)]
+    rows = [r[keep[r]] for r in (_features(t, look) for t in texts)]
     flat = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     value = ratio[flat]
@@ -116,7 +136,7 @@ def fit_texts(texts: list[str], toxic: list[int], rounds: int = 200) -> NgramCla
         fix = np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
         w -= 0.02 * fix * m / (np.sqrt(v) + 1e-9)
         b -= 0.02 * fix * mb / (np.sqrt(vb) + 1e-9)
-    return NgramClassifier(keep, w * ratio * keep, float(b))
+    return NgramClassifier(look, w * ratio * keep, float(b))
 
 
 def fit(
@@ -147,7 +167,7 @@ def fit(
 
 def score(docs: DataFrame, model: NgramClassifier, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.keep, model.weight, model.bias))
+    shared = docs.sparkSession.sparkContext.broadcast((model.look, model.weight, model.bias))
 
     def start() -> Callable:
         m = NgramClassifier(*shared.value)
