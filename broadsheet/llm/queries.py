@@ -28,7 +28,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     """Fitted on the labelled rows that are not held out."""
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     learned = docs.where(~held_out(F.col("doc_id"), 3, 1)).select("doc_id", "text")
-    return toxicity.fit(learned.join(labels, "doc_id"))
+    return toxicity.fit(learned, labels)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

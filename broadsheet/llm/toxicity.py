@@ -140,29 +140,35 @@ def fit_texts(texts: list[str], toxic: list[int], rounds: int = 200) -> NgramCla
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
     per_class: int = PER_CLASS,
     fit_chars: int = FIT_CHARS,
 ) -> NgramClassifier:
-    """Fit on a bounded sample of ``labelled``; rows without text or label are left out."""
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(
-        F.col("text").isNotNull() & F.col("label").isin(0, 1) & (F.length("text") <= fit_chars)
+    """Fit on a bounded sample of ``docs`` with a label; rows without text or label are left out.
+
+    Only hashes are joined with the labels; the texts of the chosen ones follow
+    by broadcast of at most ``2 * per_class`` hashes.
+    """
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(text).alias("text")).where(
+        F.col("text").isNotNull() & (F.length("text") <= fit_chars)
     )
     rows = rows.withColumn("h", F.xxhash64("text"))
-    texts, labels = [], []
+    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(label).alias("label")).where(F.col("label").isin(0, 1))
+    marked = rows.select("key", "h").join(known, "key").select("label", "h").distinct()
+    # Copies of a text must not fill the sample: choose among distinct hashes.
+    chosen = []
     for value in (0, 1):
-        one = rows.where(F.col("label") == value)
-        # Copies of a text must not fill the sample: choose among distinct hashes first.
-        chosen = [r[0] for r in one.select("h").distinct().orderBy("h").limit(per_class).collect()]
-        if not chosen:
-            continue
-        found = one.where(F.col("h").between(min(chosen), max(chosen))).groupBy("h").agg(F.min("text").alias("text"))
-        got = [r["text"] for r in found.orderBy("h").limit(per_class).collect()]
-        texts += got
-        labels += [value] * len(got)
-    return fit_texts(texts, labels)
+        chosen += marked.where(F.col("label") == value).orderBy("h").limit(per_class).collect()
+    if not chosen:
+        return fit_texts([], [])
+    wanted = docs.sparkSession.createDataFrame([(int(r["label"]), r["h"]) for r in chosen], "label int, h long")
+    found = rows.join(F.broadcast(wanted), "h").groupBy("label", "h").agg(F.min("text").alias("text"))
+    got = found.orderBy("label", "h").collect()
+    return fit_texts([r["text"] for r in got], [r["label"] for r in got])
 
 
 def score(docs: DataFrame, model: NgramClassifier, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

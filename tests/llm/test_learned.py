@@ -46,10 +46,19 @@ def test_toxicity_table(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
-def test_fit_takes_a_bounded_distinct_sample(spark):
-    rows = [("copy", 0)] * 50 + [(f"text {i}", 0) for i in range(9)] + [(f"bad {i}", 1) for i in range(9)] + [(None, 1), ("x", None)]
-    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"), per_class=5)
-    assert isinstance(model, toxicity.NgramClassifier)
+def test_fit_takes_a_bounded_distinct_sample(spark, monkeypatch):
+    texts = ["copy"] * 50 + [f"text {i}" for i in range(9)] + [f"bad {i}" for i in range(9)] + [None, "x", "long" * 100]
+    labels = [0] * 59 + [1] * 9 + [1, None, 1]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, label int")
+    known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda t, y: seen.append((t, y)))
+    toxicity.fit(docs, known, per_class=5, fit_chars=50)
+    toxicity.fit(docs, known, per_class=100, fit_chars=50)
+    toxicity.fit(docs.limit(0), known)
+    (few, marks), (every, _), (none, _) = seen
+    assert len(few) == 10 and sum(marks) == 5 and len(set(few)) == 10 and set(few) <= set(every)
+    assert sorted(every) == sorted(["copy"] + texts[50:68]) and none == []
 
 
 @pytest.mark.parametrize("k", [2, 3, 4, 6, 7, 20, 90])
