@@ -8,7 +8,7 @@ has the least loss, bits weighted by their accuracy on the sample; a text whose
 two best codewords are close is flagged ambiguous.
 
 The fit uses a bounded sample: at most ``SAMPLE`` distinct texts, shared equally
-by the languages, chosen by text hash.  Prediction is one narrow pass over whole
+by the ``MAX_LANGUAGES`` languages with most texts, chosen by text hash.  Prediction is one narrow pass over whole
 texts.  Null texts and texts without a letter are ``und`` with score 0; so is
 everything if no language was learned.
 """
@@ -27,6 +27,7 @@ from broadsheet.llm.common import map_text, worker_cache
 from broadsheet.llm.toxicity import ngram_hashes
 
 SAMPLE = 4000
+MAX_LANGUAGES = 400
 FIT_CHARS = 32768
 SIZES = (1, 2, 3)
 HASH_BITS = 15
@@ -146,10 +147,12 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     )
     rows = rows.where(F.length("text") <= fit_chars).withColumn("h", F.xxhash64("text"))
     distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
-    known = rows.select("lang").distinct().orderBy("lang").limit(sample).count()
-    each = max(1, sample // max(1, known))
+    # The most frequent languages; all others would get too few texts of the sample.
+    sizes = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    known = [r["lang"] for r in sizes.limit(min(MAX_LANGUAGES, sample)).collect()]
+    each = sample // max(1, len(known))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = distinct.withColumn("at", order).where(F.col("at") <= each).select("lang", "h")
+    chosen = distinct.where(F.col("lang").isin(known)).withColumn("at", order).where(F.col("at") <= each).select("lang", "h")
     found = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     got = found.orderBy("lang", "h").collect()
     return fit_texts([r["text"] for r in got], [r["lang"] for r in got])

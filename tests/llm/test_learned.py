@@ -96,6 +96,16 @@ def test_language_edge_cases(spark):
     assert language.fit_texts(["abc"], ["xx"]).predict("text") == ("xx", 1.0, False)
 
 
+def test_language_sample_is_bounded_and_shared(spark, monkeypatch):
+    rows = [(f"text {i}", "aa") for i in range(50)] + [("copy", "aa")] * 50 + [(f"word {i}", "bb") for i in range(3)]
+    rows += [("rare", "cc"), (None, "aa"), ("x", None)]
+    monkeypatch.setattr(language, "fit_texts", lambda texts, langs: (texts, langs))
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    texts, langs = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample=20)
+    assert len(texts) == len(set(texts)) == 13 and langs.count("aa") == 10 and langs.count("bb") == 3
+    assert language.fit(spark.createDataFrame([], "text string, lang string")) == ([], [])
+
+
 def test_held_out_shares(spark):
     import zlib
 
