@@ -88,3 +88,13 @@ def words(text: Column, between: str) -> Column:
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether a document's id falls into the held-out share (null: not)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def hash_limit(wanted: int, rows: int) -> int:
+    """A bound on ``xxhash64`` values under which about twice ``wanted`` of ``rows`` distinct ones lie.
+
+    Taking the ``wanted`` least hashes below it keeps what tasks and the driver
+    sort near that number, however many partitions there are.
+    """
+    share = min(1.0, (2 * wanted + 50) / max(1, rows))
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))

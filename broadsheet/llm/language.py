@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import map_text, worker_cache
+from broadsheet.llm.common import hash_limit, map_text, worker_cache
 from broadsheet.llm.toxicity import ngram_hashes
 
 SAMPLE = 4000
@@ -149,10 +149,12 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
     # The most frequent languages; all others would get too few texts of the sample.
     sizes = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-    known = [r["lang"] for r in sizes.limit(min(MAX_LANGUAGES, sample)).collect()]
+    known = sizes.limit(min(MAX_LANGUAGES, sample)).collect()
     each = sample // max(1, len(known))
+    limits = rows.sparkSession.createDataFrame([(r["lang"], hash_limit(each, r["n"])) for r in known], "lang string, most long")
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = distinct.where(F.col("lang").isin(known)).withColumn("at", order).where(F.col("at") <= each).select("lang", "h")
+    chosen = distinct.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most"))
+    chosen = chosen.withColumn("at", order).where(F.col("at") <= each).select("lang", "h")
     found = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     got = found.orderBy("lang", "h").collect()
     return fit_texts([r["text"] for r in got], [r["lang"] for r in got])

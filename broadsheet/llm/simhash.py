@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import map_text
+from broadsheet.llm.common import hash_limit, map_text
 from broadsheet.llm.components import connected_components
 from broadsheet.session import materialise
 
@@ -159,7 +159,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, plan: li
         raise ValueError("radius must be 0, 1 or 2")
     if plan is None:
         total = nodes.count()
-        sample = [r[0] for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
+        few = nodes.where(F.xxhash64("fp") <= hash_limit(SAMPLE, total))
+        sample = [r[0] for r in few.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
         plan = plan_groups(sample, total, radius)
     data = probe = None
     for i, (group, t) in enumerate(plan):

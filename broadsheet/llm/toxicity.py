@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import map_text
+from broadsheet.llm.common import hash_limit, map_text
 
 PER_CLASS = 3000
 FIT_CHARS = 32768
@@ -161,8 +161,9 @@ def fit(
     marked = rows.select("key", "h").join(known, "key").select("label", "h").distinct()
     # Copies of a text must not fill the sample: choose among distinct hashes.
     chosen = []
-    for value in (0, 1):
-        chosen += marked.where(F.col("label") == value).orderBy("h").limit(per_class).collect()
+    for r in marked.groupBy("label").count().orderBy("label").collect():
+        one = marked.where((F.col("label") == r["label"]) & (F.col("h") <= hash_limit(per_class, r["count"])))
+        chosen += one.orderBy("h").limit(per_class).collect()
     if not chosen:
         return fit_texts([], [])
     wanted = docs.sparkSession.createDataFrame([(int(r["label"]), r["h"]) for r in chosen], "label int, h long")
