@@ -41,6 +41,8 @@ MARKED = set(
     "respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets complementary "
     "contentinfo search alert advertorial paywall recommended".split()
 )
+HAVING = {"has", "with", "without", "no", "not", "is"}
+COMMENTS = {"comment", "comments", "reply", "replies", "respond"}
 MAIN = {"article", "main"}
 COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 DROP = re.compile(r"<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
@@ -50,15 +52,20 @@ PART = re.compile(r"[^a-z0-9]+")
 CLOSES_P = BLOCKS - {"br"}
 
 
-def _marked(attributes: str) -> bool:
+def _marked(element: str, attributes: str) -> bool:
+    """Whether attributes mark an element as no main text; an article only as a comment."""
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id", "role") and not MARKED.isdisjoint(PART.split(value)):
-            return True
+        if name in ("class", "id", "role"):
+            # "has-sidebar" and the like say what an element has, not what it is.
+            for word in value.split():
+                parts = PART.split(word)
+                if parts[0] not in HAVING and not MARKED.isdisjoint(parts):
+                    return element != "article" or parts[0] in COMMENTS
     return False
 
 
@@ -115,7 +122,7 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
             link -= name == "a" and link > 0
             continue
         header = name == "header" and not main
-        if name not in VOID and (name in SKIPPED or header or (name not in ("html", "body", "main") and _marked(attributes))):
+        if name not in VOID and (name in SKIPPED or header or (name not in ("html", "body", "main") and _marked(name, attributes))):
             if attributes.rstrip().endswith("/"):
                 continue
             end()

@@ -31,6 +31,12 @@ def test_parts_inside_the_article_are_left_out():
             assert html_text.main_text(f"<body><article>{ARTICLE}{part}<p>After.</p></article>") == TEXT + "\nAfter."
 
 
+def test_class_names_that_say_what_an_element_has():
+    page = f"<body class='no-ads'><div class='content has-sidebar'><article class='post has-comments ad-free'>{ARTICLE}"
+    comment = "<article class='comment depth-1'><p>A reader agrees.</p></article>"
+    assert html_text.main_text(f"{page}{comment}</article><aside>x</aside></div></body>") == TEXT
+
+
 def test_page_without_article_element():
     long = "A sentence that is long enough to count as running text of a page. "
     menu = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(30))
