@@ -16,7 +16,7 @@ from broadsheet.llm.common import worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words a worker remembers before it starts anew; bounds its memory.
-MAX_WORDS = 800_000
+MAX_WORDS = 600_000
 LATIN_END = 0x250
 #: ASCII characters that are neither letters, digits nor white space.
 MARKS = string.punctuation
