@@ -11,9 +11,10 @@ its line alone, so the order of lines is no matter and a leaf is never gathered.
 
 A template that occurs in two or more documents is recurring: its lines are
 dropped from all documents but the one of the least id.  A document of which
-less than ``MIN_LEFT`` of the words is left was a copy and goes; others keep
-their remaining lines.  Lines of fewer than ``MIN_TOKENS`` tokens are never
-dropped.  Documents without id take no part and stay as they are; rows of one
+less than ``MIN_LEFT`` of the words is left is marked as a copy.  It goes only if
+no line of ``MIN_TOKENS`` tokens is left; all others keep their remaining lines,
+so a line that others lost to a document never goes with that document.  Lines
+of fewer than ``MIN_TOKENS`` tokens are never dropped by themselves.  Documents without id take no part and stay as they are; rows of one
 id count as one document; null texts stay null.
 """
 
@@ -100,8 +101,8 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def _without(work: dict | None) -> tuple:
     if work is None:
-        return None, 0, False
-    drop, kept, words, left = set(work["drop"]), [], 0, 0
+        return None, 0, False, False
+    drop, kept, words, left, longest = set(work["drop"]), [], 0, 0, 0
     lines = work["text"].encode("utf-8", "surrogatepass").split(b"\n")
     for i, line in enumerate(lines):
         n = len(line.split())
@@ -109,11 +110,16 @@ def _without(work: dict | None) -> tuple:
         if i not in drop:
             kept.append(line)
             left += n
-    return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(lines) - len(kept), left < MIN_LEFT * words
+            longest = max(longest, n)
+    is_copy = left < MIN_LEFT * words
+    return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(lines) - len(kept), is_copy, is_copy and longest < MIN_TOKENS
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``_doc`` (the input row), ``new`` (its remaining text), ``n_lines``, ``n_dropped`` and ``is_copy``."""
+    """``_doc`` (the input row), ``new`` (its remaining text), ``n_lines``, ``n_dropped``, ``is_copy`` and ``is_empty``.
+
+    Of an ``is_empty`` document at most lines of fewer than ``MIN_TOKENS`` tokens are left.
+    """
     drops = dropped_lines(docs, key, text)
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(doc.alias("_doc"), F.col(f"`{key}`").alias("doc"), F.xxhash64(text).alias("body"))
@@ -123,9 +129,9 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
 
     def start() -> Callable:
-        return lambda works: [list(x) for x in zip(*map(_without, works), strict=True)] or [[], [], []]
+        return lambda works: [list(x) for x in zip(*map(_without, works), strict=True)] or [[], [], [], []]
 
-    fields = [("new", T.StringType()), ("n_dropped", T.LongType()), ("is_copy", T.BooleanType())]
+    fields = [("new", T.StringType()), ("n_dropped", T.LongType()), ("is_copy", T.BooleanType()), ("is_empty", T.BooleanType())]
     done = map_text(rows, "work", start, fields).drop("work")
     return done.select(
         "_doc",
@@ -133,10 +139,11 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.coalesce(F.size(F.split(body, "\n")), F.lit(0)).cast("long").alias("n_lines"),
         "n_dropped",
         "is_copy",
+        "is_empty",
     )
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``docs`` with the remaining texts, without the documents that were copies."""
-    kept = line_dedup(docs, key, text).where(~F.col("is_copy"))
+    """The columns of ``docs`` with the remaining texts, without the documents of which nothing is left."""
+    kept = line_dedup(docs, key, text).where(~F.col("is_empty"))
     return kept.select(*[F.col("new" if c == text else f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -51,3 +51,10 @@ def test_empty_and_long(spark):
     assert cleaned(spark, []) == []
     long = "\n".join(f"line {chr(97 + i % 26)}{chr(97 + i // 26)} of a long text" for i in range(600))
     assert cleaned(spark, [(1, long), (2, own(2))]) == [(1, long), (2, own(2))]
+
+
+def test_a_document_of_shared_lines_keeps_its_own_line(spark):
+    shared = [own(i) for i in range(9)]
+    docs = [(i, f"{x}\n{own(i + 10)}") for i, x in enumerate(shared)]
+    docs += [(20, "\n".join([*shared, "only I say so"])), (21, f"only I say so\n{own(21)}"), (22, "\n".join([*shared, "end"]))]
+    assert cleaned(spark, docs) == sorted([*docs[:9], (20, "only I say so"), (21, own(21))], key=repr)
