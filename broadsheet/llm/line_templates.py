@@ -6,7 +6,9 @@ Below the leading tokens a line of at least ``MIN_GENERAL`` tokens is cut into
 ``FIELDS`` runs of tokens, and each template of the line lets one run vary: two
 lines share a template if they agree in count, leading tokens and all runs but
 one.  So at most a quarter of a line varies besides its numbers.  Shorter lines
-have their masked tokens as their only template.  A template is a function of
+have their masked tokens as their only template.  A line of which less than
+``MIN_CONSTANT`` of the tokens are without digit, such as a row of a number
+table, has its exact tokens as its only template.  A template is a function of
 its line alone, so the order of lines is no matter and a leaf is never gathered.
 
 A template that occurs in two or more documents is recurring: its lines are
@@ -35,6 +37,7 @@ FIELDS = 4
 MIN_TOKENS = 3
 MIN_GENERAL = 8
 MIN_LEFT = 0.2
+MIN_CONSTANT = 0.5
 ANY = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 
@@ -53,6 +56,8 @@ def line_templates(line: bytes) -> list[bytes]:
     n = len(tokens)
     if n < MIN_TOKENS:
         return []
+    if n - tokens.count(ANY) < MIN_CONSTANT * n:
+        return [b"%d=%b" % (n, b" ".join(line.split()))]
     if n < MIN_GENERAL:
         return [b"%d:%b" % (n, b" ".join(tokens))]
     cuts = [DEPTH + j * (n - DEPTH) // FIELDS for j in range(FIELDS + 1)]

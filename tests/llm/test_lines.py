@@ -58,3 +58,12 @@ def test_a_document_of_shared_lines_keeps_its_own_line(spark):
     docs = [(i, f"{x}\n{own(i + 10)}") for i, x in enumerate(shared)]
     docs += [(20, "\n".join([*shared, "only I say so"])), (21, f"only I say so\n{own(21)}"), (22, "\n".join([*shared, "end"]))]
     assert cleaned(spark, docs) == sorted([*docs[:9], (20, "only I say so"), (21, own(21))], key=repr)
+
+
+def test_number_tables_are_not_templates(spark):
+    tables = [(i, "\n".join(" ".join(str(i * 1000 + 7 * r + c) for c in range(n)) for r in range(4))) for i, n in ((1, 3), (2, 3), (3, 9), (4, 9))]
+    assert cleaned(spark, tables) == tables
+    labelled = [(i, f"{own(i)}\nOslo {i} 2{i} 3{i} 4{i} 5{i} 6{i} 7{i}") for i in (1, 2)]
+    assert cleaned(spark, labelled) == labelled
+    row = "1 2 3 4 5 6 7 8 9"
+    assert cleaned(spark, [(i, f"{own(i)}\n{row}") for i in (1, 2)]) == [(1, f"{own(1)}\n{row}"), (2, own(2))]
