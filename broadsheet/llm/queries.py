@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chat, dac, html_text, language, line_templates, packing, quality, simhash, toxicity
+from broadsheet.llm import chat, dac, html_text, language, line_templates, packing, quality, quality_model, resample, simhash, toxicity, whitening
 from broadsheet.llm import decontaminate as leaks
 from broadsheet.llm.common import held_out, load, prepare
 from broadsheet.session import new_folder
@@ -84,6 +84,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.with_checksums(dac.read_documents(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_model.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)), labels)
+    scored = quality_model.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, load(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +116,8 @@ QUERIES = {
         op8_language_id,
         op9_quality_rules,
         op10_token_files,
+        op11_quality_classifier,
+        op12_importance_resampling,
+        op13_embedding_whitening,
     )
 }
