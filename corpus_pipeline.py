@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import line_templates, near_copies, packing, toxicity
+from broadsheet.llm import line_templates, packing, simhash, toxicity
 from broadsheet.llm import decontaminate as leaks
 from broadsheet.llm.common import load, prepare
 from broadsheet.llm.queries import toxicity_model
@@ -27,9 +27,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles stays."""
+    """One document of each SimHash group stays: that of the least id.
+
+    The operator's own contract: fingerprints of three-word shingles linked
+    within two differing bits, groups closed over links.
+    """
     prepare(spark)
-    return near_copies.drop_near_copies(docs)
+    return simhash.drop_near_duplicates(docs, radius=simhash.RADIUS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from broadsheet.llm import tokens
-from broadsheet.llm.line_templates import MIN_LEFT
+from broadsheet.llm.line_templates import MIN_CONSTANT, MIN_LEFT
 from broadsheet.llm.queries import QUERIES, toxicity_model
 from tests.llm.test_native import plain_hits
 from tests.llm.test_packing import best_fit
@@ -96,13 +96,19 @@ def test_token_files(spark, docs, encode):
 
 
 def plain_line_dedup(docs):
-    """{id: text}: lines of shared templates only in the first document; no copies."""
+    """{id: text}: lines of shared templates only in the first document; documents with nothing left go.
+
+    A copy (under a fifth of its words left) goes only if no line of three tokens is left.
+    """
     shapes, firsts = {}, {}
     for i, text in docs:
         for at, line in enumerate(text.split("\n")):
-            t = ["<*>" if re.search("[0-9]", w) else w for w in re.split("[\x20\x09-\x0d]+", line) if w]
+            raw = [w for w in re.split("[\x20\x09-\x0d]+", line) if w]
+            t = ["<*>" if re.search("[0-9]", w) else w for w in raw]
             n = len(t)
-            if n >= 8:
+            if n >= 3 and n - t.count("<*>") < MIN_CONSTANT * n:
+                found = [(n, "=", *raw)]
+            elif n >= 8:
                 cuts = [3 + j * (n - 3) // 4 for j in range(5)]
                 found = [(n, j, *t[: cuts[j]], None, *t[cuts[j + 1] :]) for j in range(4)]
             else:
@@ -115,7 +121,8 @@ def plain_line_dedup(docs):
         lines = text.split("\n")
         kept = [x for at, x in enumerate(lines) if not any(min(firsts[s]) < i for s in shapes[i, at])]
         words = [sum(len(re.findall("[^\x20\x09-\x0d]+", x)) for x in part) for part in (kept, lines)]
-        if len(kept) == len(lines) or words[0] >= MIN_LEFT * words[1]:
+        longest = max((len(re.findall("[^\x20\x09-\x0d]+", x)) for x in kept), default=0)
+        if len(kept) == len(lines) or words[0] >= MIN_LEFT * words[1] or longest >= 3:
             out[i] = "\n".join(kept)
     return out
 

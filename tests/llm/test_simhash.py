@@ -135,3 +135,41 @@ def test_plan_covers_the_radius_and_follows_size():
 def test_long_chain_settles(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
     assert {r[0] for r in connected_components(edges).select("root").collect()} == {0}
+
+
+def plain_roots(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    return {x: find(x) for x in list(parent)}
+
+
+def test_components_take_logarithmic_rounds(spark, monkeypatch):
+    import random
+
+    from broadsheet.llm import components
+
+    rnd = random.Random(4)
+    n = 10_000
+    falling = [(i, i + 1) for i in range(0, 3000)][::-1]
+    path = list(range(3000, 6000))
+    rnd.shuffle(path)
+    randomly = list(zip(path, path[1:]))
+    hub = [(6000, 6001 + j * 100 + k) if k == 0 else (6001 + j * 100 + k - 1, 6001 + j * 100 + k) for j in range(39) for k in range(100)]
+    extra = [(rnd.randrange(9900, n), rnd.randrange(9900, n)) for _ in range(60)] + [(n + 5, n + 5)]
+    edges = falling + randomly + hub + extra
+    rounds = []
+    real = components.materialise
+    monkeypatch.setattr(components, "materialise", lambda df: rounds.append(1) or real(df))
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {r["node"]: r["root"] for r in components.connected_components(frame).collect()}
+    assert got == plain_roots(edges)
+    assert (len(rounds) - 1) / 2 <= 20
