@@ -1,7 +1,8 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-Statistics of each document are Spark expressions over the whole text (counts
-and shares of letters, digits, symbols, lines, words).  A bounded sample of
+Statistics of each document are counts and shares over the whole text
+(letters, digits, symbols, lines, words), computed on its code points with numpy
+inside the tasks.  A bounded sample of
 labelled rows, ``per_class`` distinct texts of each label chosen by text hash,
 is binned at its quantiles, and trees of depth ``MAX_DEPTH`` are grown on
 gradient and hessian histograms of the logistic loss.  The trees are flattened
@@ -16,16 +17,17 @@ column named like a statistic, ``score`` or ``predicted`` is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm.common import SPACE, hash_limit, words
+from broadsheet.llm.common import hash_limit, map_text
 
 PER_CLASS = 20_000
 BINS = 64
@@ -37,46 +39,58 @@ L2 = 1.0
 THRESHOLD = 0.7
 
 
-def _count(text: Column, pattern: str) -> Column:
-    """Characters of ``text`` that match a one-character pattern."""
-    return F.length(F.regexp_replace(text, pattern, ""))
-
-
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text, by name; zero for null and empty texts."""
-    t = F.coalesce(text, F.lit(""))
-    chars = F.length(t)
-    w = words(t, SPACE)
-    n_words = F.size(w)
-    lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x) != "")
-    n_lines = F.size(lines)
-
-    def share(part: Column, whole: Column) -> Column:
-        return F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0)).cast("double")
-
-    return {
-        "q_chars": chars.cast("double"),
-        "q_words": n_words.cast("double"),
-        "q_lines": n_lines.cast("double"),
-        "q_mean_word": share(F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)), n_words),
-        "q_longest_word": F.coalesce(F.array_max(F.transform(w, F.length)), F.lit(0)).cast("double"),
-        "q_mean_line": share(chars, n_lines),
-        "q_letters": share(_count(t, r"[^\p{L}]"), chars),
-        "q_upper": share(_count(t, r"[^\p{Lu}]"), _count(t, r"[^\p{L}]")),
-        "q_digits": share(_count(t, r"[^0-9]"), chars),
-        "q_punct": share(_count(t, r"[^\p{P}]"), chars),
-        "q_symbols": share(_count(t, r"[^#*$%&|<>@~^_=+\\/{}\[\]]"), chars),
-        "q_space": share(_count(t, r"[^\s]"), chars),
-        "q_non_ascii": share(_count(t, r"[\x00-\x7F]"), chars),
-        "q_unique_words": share(F.size(F.array_distinct(F.transform(w, F.lower))), n_words),
-        "q_short_words": share(F.size(F.filter(w, lambda x: F.length(x) <= 3)), n_words),
-        "q_capital_words": share(F.size(F.filter(w, lambda x: x.rlike(r"^\p{Lu}"))), n_words),
-        "q_end_stop": share(F.size(F.filter(lines, lambda x: x.rlike(r"[.!?\"'”)]\s*$"))), n_lines),
-        "q_bullets": share(F.size(F.filter(lines, lambda x: x.rlike(r"^\s*([-*•‣·]|\d+[.)])\s"))), n_lines),
-        "q_short_lines": share(F.size(F.filter(lines, lambda x: F.size(F.split(F.trim(x), SPACE)) < 4)), n_lines),
-        "q_distinct_lines": share(F.size(F.array_distinct(lines)), n_lines),
-        "q_urls": share(F.size(F.filter(w, lambda x: x.rlike(r"^(https?://|www\.)"))), n_words),
-    }
+_BULLET = re.compile(r"\s*([-*•‣·]|\d+[.)])\s")
+_ENDS = frozenset(".!?\"'”)")
+# Classes of the ASCII code points; all others count as letters and as non-ASCII.
+_LETTER, _UPPER, _DIGIT, _PUNCT, _SYMBOL, _SPACE = (np.zeros(128, bool) for _ in range(6))
+for _c in range(128):
+    _ch = chr(_c)
+    _LETTER[_c], _UPPER[_c], _DIGIT[_c] = _ch.isalpha(), _ch.isupper(), _ch.isdigit()
+    _PUNCT[_c] = _ch in "!\"'(),-.:;?[]{}"
+    _SYMBOL[_c] = _ch in "#*$%&|<>@~^_=+\\/"
+    _SPACE[_c] = _ch.isspace()
+
+
+def statistics(text: str | None) -> list[float]:
+    """Statistics of a whole text, in the order of ``FEATURES``; zero for null and empty texts."""
+    t = text or ""
+    codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4")
+    low = np.minimum(codes, 127)
+    wide = codes > 127
+    chars = len(codes)
+    letters = int(_LETTER[low].sum() + wide.sum())
+    words = t.split()
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    lines = [x for x in t.split("\n") if x.strip()]
+    starts = np.flatnonzero(~_SPACE[low] & np.concatenate([[True], _SPACE[low[:-1]]])) if chars else np.zeros(0, np.int64)
+
+    def share(part: float, whole: float) -> float:
+        return float(part) / whole if whole else 0.0
+
+    n_words, n_lines = len(words), len(lines)
+    return [
+        float(chars),
+        float(n_words),
+        float(n_lines),
+        share(lengths.sum(), n_words),
+        float(lengths.max()) if n_words else 0.0,
+        share(chars, n_lines),
+        share(letters, chars),
+        share(_UPPER[low].sum(), letters),
+        share(_DIGIT[low].sum(), chars),
+        share(_PUNCT[low].sum(), chars),
+        share(_SYMBOL[low].sum(), chars),
+        share(_SPACE[low].sum(), chars),
+        share(wide.sum(), chars),
+        share(len(set(t.lower().split())), n_words),
+        share((lengths <= 3).sum(), n_words),
+        share(_UPPER[low[starts]].sum(), n_words),
+        share(sum(x.rstrip()[-1:] in _ENDS for x in lines), n_lines),
+        share(sum(bool(_BULLET.match(x)) for x in lines), n_lines),
+        share(sum(len(x.split()) < 4 for x in lines), n_lines),
+        share(len(set(lines)), n_lines),
+        share(t.count("http://") + t.count("https://") + t.count("www."), n_words),
+    ]
 
 
 FEATURES = [
@@ -198,10 +212,16 @@ def fit_arrays(
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the statistics of its texts as columns of their own."""
-    stats = statistics(F.col(f"`{text}`"))
-    assert list(stats) == FEATURES
-    return docs.drop(*FEATURES).select("*", *[c.alias(n) for n, c in stats.items()])
+    """``docs`` with the statistics of its texts as columns of their own; one narrow pass."""
+
+    def start():
+        def run(texts: list) -> list:
+            table = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(FEATURES))
+            return [pa.array(table[:, i]) for i in range(len(FEATURES))]
+
+        return run
+
+    return map_text(docs, text, start, [(f, T.DoubleType()) for f in FEATURES])
 
 
 def fit(
@@ -212,35 +232,43 @@ def fit(
     label: str = "quality",
     per_class: int = PER_CLASS,
 ) -> Forest:
-    """Fit on at most ``per_class`` distinct texts of each label; the statistics go to the driver, not the texts."""
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    """Fit on at most ``per_class`` distinct texts of each label, chosen by text hash.
+
+    Only hashes are joined with the labels; the chosen texts follow by broadcast
+    of at most ``2 * per_class`` hashes, and only their statistics reach the driver.
+    """
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).withColumn("h", F.xxhash64("text"))
     known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")).where(
         F.col("label").isin(0, 1)
     )
-    marked = rows.join(known, "key").select("label", F.xxhash64("text").alias("h"), "text")
+    marked = rows.select("key", "h").join(known, "key").select("label", "h").distinct()
     chosen = []
-    for r in marked.groupBy("label").agg(F.count_distinct("h").alias("n")).orderBy("label").collect():
-        one = marked.where((F.col("label") == r["label"]) & (F.col("h") <= hash_limit(per_class, r["n"])))
-        one = with_statistics(one.dropDuplicates(["label", "h"]), "text").select("label", "h", *FEATURES)
+    for r in marked.groupBy("label").count().orderBy("label").collect():
+        one = marked.where((F.col("label") == r["label"]) & (F.col("h") <= hash_limit(per_class, r["count"])))
         chosen += one.orderBy("h").limit(per_class).collect()
-    x = np.array([[r[f] for f in FEATURES] for r in chosen], float).reshape(len(chosen), len(FEATURES))
-    return fit_arrays(x, np.array([r["label"] for r in chosen], float))
+    if not chosen:
+        return fit_arrays(np.zeros((0, len(FEATURES))), np.zeros(0))
+    wanted = docs.sparkSession.createDataFrame([(int(r["label"]), r["h"]) for r in chosen], "label int, h long")
+    texts = rows.join(F.broadcast(wanted), "h").groupBy("label", "h").agg(F.min("text").alias("text"))
+    got = with_statistics(texts, "text").drop("text").orderBy("label", "h").collect()
+    x = np.array([[r[f] for f in FEATURES] for r in got], float).reshape(len(got), len(FEATURES))
+    return fit_arrays(x, np.array([r["label"] for r in got], float))
 
 
 def score(docs: DataFrame, model: Forest, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with its statistics, ``score`` and ``predicted``; one narrow pass."""
-    stated = with_statistics(docs.drop("score", "predicted"), text)
     # Plain arrays travel; the class comes with the function that uses them.
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
-    schema = T.StructType(list(stated.schema.fields)).add("score", T.DoubleType()).add("predicted", T.IntegerType())
-    at = [stated.columns.index(f) for f in FEATURES]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         forest = Forest(*shared.value)
-        for batch in batches:
-            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in at], axis=1).astype(float)
-            s = forest.score(x.reshape(batch.num_rows, len(at)))
-            columns = [*batch.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
 
-    return stated.mapInArrow(run, schema)
+        def run(texts: list) -> list:
+            table = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(FEATURES))
+            s = forest.score(table)
+            return [*(pa.array(table[:, i]) for i in range(len(FEATURES))), pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+
+        return run
+
+    fields = [(f, T.DoubleType()) for f in FEATURES] + [("score", T.DoubleType()), ("predicted", T.IntegerType())]
+    return map_text(docs, text, start, fields)
