@@ -9,7 +9,6 @@ the names that are measured to be hot do, and the others are joined by shuffle.
 
 from __future__ import annotations
 
-import math
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -41,28 +40,6 @@ def _check_cutoff(cutoff: float) -> None:
         raise ValueError(f"cutoff must lie in [0, 1]: {cutoff}")
 
 
-def _needed(length: int, cutoff: float) -> int:
-    """Least number of common letter pairs of two texts of that total length.
-
-    A ratio of at least ``cutoff`` means ``m`` matching letters with
-    ``2 m / length >= cutoff``, in at most ``length - 2 m + 1`` runs.  A run of
-    ``r`` letters has ``r - 1`` pairs.
-    """
-    m = math.ceil(cutoff * length / 2 - 1e-9)
-    return 3 * m - length - 1
-
-
-def _pairs_of_letters(text: str) -> Column:
-    """Numbered letter pairs: ``("an", 1)`` is the second "an"."""
-    size = F.char_length(text)
-    pairs = F.transform(
-        F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.col(text).substr(i, F.lit(2)),
-    )
-    ordered = F.sort_array(pairs)
-    return F.transform(ordered, lambda c, i: F.concat(c, (i - F.array_position(ordered, c) + 1).cast("string")))
-
-
 def _characters(text: str, size: str, ratio: float) -> Column:
     """Tokens of the prefix that any good enough partner shares.
 
@@ -82,39 +59,100 @@ def _characters(text: str, size: str, ratio: float) -> Column:
     return F.slice(numbered, 1, keep.cast("int"))
 
 
+SUBSET = 4
+
+
+def _numbered_characters(text: str) -> Column:
+    """The text as a bag of characters: ``"a:2"`` stands for its second "a"."""
+    letters = F.sort_array(F.split(F.col(text), ""))
+    return F.transform(letters, lambda c, i: F.concat(c, F.lit(":"), (i - F.array_position(letters, c) + 1).cast("string")))
+
+
+def _subsets(values: Column, size: int) -> Column:
+    """All ``size``-subsets of an array, each in the array's order."""
+    if size == 1:
+        return F.transform(values, lambda a: F.array(a))
+    return F.flatten(
+        F.transform(
+            values,
+            lambda a, i: F.transform(
+                _subsets(F.slice(values, i + 2, F.greatest(F.size(values), F.lit(1))), size - 1), lambda rest: F.concat(F.array(a), rest)
+            ),
+        )
+    )
+
+
+def _signatures(texts: DataFrame, text: str, size: str, rank: DataFrame, partners: list[int], cutoff: float, first: bool) -> DataFrame:
+    """``(text, key)``: for each length ``k`` of a possible partner, hashed subsets of the rarest characters.
+
+    A ratio of at least ``cutoff`` needs ``m = ceil(cutoff (n + k) / 2)`` common
+    characters.  Two bags that share ``m`` share their ``s = min(m, SUBSET)``
+    rarest common ones, and those lie within the rarest ``n - m + s`` of each:
+    so both sides have the ``s``-subset of them.  Both lengths are in the key,
+    ordered as (name, key) by ``first``.
+    """
+    tokens = texts.select(text, size, F.explode(_numbered_characters(text)).alias("token"))
+    ranked = tokens.join(F.broadcast(rank), "token").groupBy(text, size).agg(F.sort_array(F.collect_list("order")).alias("ranks"))
+    n = F.col(size)
+    fits = lambda k: 2 * F.least(n, k) >= cutoff * (n + k) - 1e-9
+    lengths = F.filter(F.array(*[F.lit(k) for k in partners]) if partners else F.array().cast("array<int>"), fits)
+    with_k = ranked.select(text, size, "ranks", F.explode(lengths).alias("k"))
+    m = F.ceil(cutoff * (n + F.col("k")) / 2 - 1e-9).cast("int")
+    keyed = []
+    for s in range(1, SUBSET + 1):
+        # Exactly one subset size applies to a pair of lengths.
+        applies = (F.least(m, F.lit(SUBSET)) == s) if s < SUBSET else (m >= SUBSET)
+        prefix = F.slice("ranks", 1, F.greatest(n - m + s, F.lit(0)).cast("int"))
+        part = with_k.where(applies & (m <= n)).select(text, size, "k", F.explode(_subsets(prefix, s)).alias("subset"))
+        keyed.append(part)
+    out = keyed[0]
+    for part in keyed[1:]:
+        out = out.union(part)
+    lengths_in_order = [n, F.col("k")] if first else [F.col("k"), n]
+    return out.select(text, size, F.xxhash64(*lengths_in_order, F.col("subset")).alias("key"))
+
+
+def signature_matches(who: DataFrame, dim: DataFrame, cutoff: float) -> DataFrame:
+    """Rows of the join of ``who(name, nlen)`` and ``dim(company_key, klen)`` on equal signatures.
+
+    Only lengths that occur on the other side are keyed: a list no longer than
+    the longest text.  Rarity is counted over both sides, a table of distinct
+    numbered characters.
+    """
+    every = who.select(F.explode(_numbered_characters("name")).alias("token")).union(
+        dim.select(F.explode(_numbered_characters("company_key")).alias("token"))
+    )
+    counts = every.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    # Rarer first.  Two characters may share a value: that only adds candidates,
+    # as both sides then key on the least values of their common characters.
+    order = F.col("uses") * (1 << 20) + F.pmod(F.xxhash64("token"), F.lit(1 << 20))
+    rank = materialise(counts.select("token", order.alias("order")))
+    name_lengths = sorted(r[0] for r in who.select("nlen").distinct().collect())
+    key_lengths = sorted(r[0] for r in dim.select("klen").distinct().collect())
+    left = _signatures(who, "name", "nlen", rank, key_lengths, cutoff, True)
+    right = _signatures(dim, "company_key", "klen", rank, name_lengths, cutoff, False)
+    return left.join(right, "key")
+
+
 def candidates(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
     """``(name, company_key)`` pairs whose ratio may reach ``cutoff``; misses none.
 
-    Pairs of texts that must share letter pairs are joined on those and kept
-    when they share enough of them.  Texts too short for that, or any at low
-    cutoffs, are joined on the letters that a good enough partner must share.
+    With a cutoff, pairs are joined on a signature both must have
+    (``_signatures``).  Without one every pair qualifies; texts are then joined
+    on a common letter, and ``best_similar`` takes care of those without.
     """
     dim = dimension.select("company_key", F.char_length("company_key").alias("klen")).where("klen > 0")
     who = names.select("name", F.char_length("name").alias("nlen")).where("nlen > 0")
     both = F.col("nlen") + F.col("klen")
     possible = 2 * F.least("nlen", "klen") >= cutoff * both - 1e-9
-    needed = 3 * F.ceil(cutoff * both / 2 - 1e-9) - both - 1
-    found = (
-        who.withColumn("pair", F.explode(_pairs_of_letters("name")))
-        .join(dim.withColumn("pair", F.explode(_pairs_of_letters("company_key"))), "pair")
-        .where(possible & (needed >= 1))
-        .groupBy("name", "company_key", needed.alias("needed"))
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where("shared >= needed")
-        .select("name", "company_key")
-    )
-    # Above a cutoff of 2/3 only texts up to some length can do without pairs.
-    steep = cutoff > 2 / 3 + 1e-6
-    longest = max((n for n in range(1, math.ceil(6 / (3 * cutoff - 2)) + 3) if _needed(n, cutoff) < 1), default=0) if steep else None
-    if longest is not None:
-        who, dim = who.where(F.col("nlen") < longest), dim.where(F.col("klen") < longest)
+    if cutoff > 0:
+        return signature_matches(who, dim, cutoff).where(possible).select("name", "company_key").distinct()
     by_letter = (
         who.withColumn("letter", F.explode(_characters("name", "nlen", cutoff)))
         .join(dim.withColumn("letter", F.explode(_characters("company_key", "klen", cutoff))), "letter")
-        .where(possible & (needed < 1))
         .select("name", "company_key")
     )
-    return found.union(by_letter).distinct()
+    return by_letter.distinct()
 
 
 def best_similar(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
