@@ -53,22 +53,36 @@ def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pc.filter(flat, keep), parents[keep.to_numpy(zero_copy_only=False)]
 
 
-def feature_buckets(texts: pa.Array, ngrams=NGRAMS, buckets: int = BUCKETS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per n, the bucket of every run of n words and the document it belongs to."""
-    found, parents = tokens(texts)
+def feature_buckets(
+    found: pa.Array, parents: np.ndarray, ngrams=NGRAMS, buckets: int = BUCKETS
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per n, the bucket of every run of n words of ``tokens``' result and the document it belongs to."""
     if not len(found):
         return [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ngrams]
     coded = pc.dictionary_encode(found)
     index = coded.indices.to_numpy().astype(np.int64)
     vocabulary = coded.dictionary.to_pylist()
+    size = len(vocabulary)
     out = []
     for n in ngrams:
         if len(index) < n:
             out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
             continue
         starts = np.flatnonzero(parents[n - 1 :] == parents[: len(parents) - n + 1])
-        shifted = np.stack([index[starts + j] for j in range(n)], axis=1)
-        runs, which = np.unique(shifted, axis=0, return_inverse=True)
+        if n == 1:
+            crc = np.fromiter((zlib.crc32(w.encode("utf-8")) for w in vocabulary), np.int64, size)
+            out.append(((crc % buckets)[index[starts]], parents[starts]))
+            continue
+        if size ** n < 1 << 62:
+            # Shifted indices as one number per run: distinct runs by a plain sort.
+            key = np.zeros(len(starts), np.int64)
+            for j in range(n):
+                key = key * size + index[starts + j]
+            runs, which = np.unique(key, return_inverse=True)
+            parts = [(runs // size ** (n - 1 - j)) % size for j in range(n)]
+            runs = np.stack(parts, axis=1)
+        else:
+            runs, which = np.unique(np.stack([index[starts + j] for j in range(n)], axis=1), axis=0, return_inverse=True)
         crc = np.fromiter(
             (zlib.crc32(" ".join(vocabulary[i] for i in run).encode("utf-8")) for run in runs), np.int64, len(runs)
         )
@@ -83,7 +97,7 @@ def bucket_counts(df: DataFrame, text: str = "text", ngrams=NGRAMS, buckets: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for b, _ in feature_buckets(batch.column(0), ngrams, buckets):
+            for b, _ in feature_buckets(*tokens(batch.column(0)), ngrams, buckets):
                 total += np.bincount(b, minlength=buckets)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["bucket", "n"])
@@ -98,7 +112,8 @@ def gains(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFram
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     s = raw.withColumnRenamed("n", "s")
     t = target.withColumnRenamed("n", "t")
-    both = every.join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"])
+    # Stored once: the corpus counts behind it are not computed again for the gains.
+    both = materialise(every.join(s, "bucket", "left").join(t, "bucket", "left").fillna(0, ["s", "t"]))
     totals = both.agg(F.sum("s").alias("S"), F.sum("t").alias("T")).first()
     b = float(buckets)
     ratio = ((F.col("t") + 1) * F.lit(totals["S"] + b)) / ((F.col("s") + 1) * F.lit(totals["T"] + b))
@@ -120,11 +135,11 @@ def weigh(df: DataFrame, gain: np.ndarray, text: str = "text", ngrams=NGRAMS) ->
         for batch in batches:
             rows = batch.num_rows
             texts = batch.column(at).cast(pa.string())
-            _, parents = tokens(texts)
+            found, parents = tokens(texts)
             n_words = np.bincount(parents, minlength=rows)
             n_features = np.zeros(rows, np.int64)
             weight = np.zeros(rows, np.int64)
-            for bucket, of in feature_buckets(texts, ngrams, len(g)):
+            for bucket, of in feature_buckets(found, parents, ngrams, len(g)):
                 # Runs of a document are contiguous: a segment sum of cumulative gains.
                 count = np.bincount(of, minlength=rows)
                 ends = np.concatenate([[0], np.cumsum(count)])

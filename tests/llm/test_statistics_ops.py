@@ -184,3 +184,17 @@ def test_quality_edges(spark):
     assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
     assert got[0]["q_chars"] == 0 and got[0]["score"] == got[1]["score"]
     assert quality_model.score(docs.limit(0), model).count() == 0
+
+
+def test_runs_of_two_words_stay_inside_documents():
+    import pyarrow as pa
+
+    texts = ["Aa bb, aa", None, "", "bb aa bb cc", "x"]
+    found, parents = resample.tokens(pa.array(texts))
+    got = resample.feature_buckets(found, parents, (1, 2), 97)
+    for n, (bucket, of) in zip((1, 2), got):
+        want = []
+        for i, t in enumerate(texts):
+            w = plain_words(t)
+            want += [(i, zlib.crc32(" ".join(w[j : j + n]).encode()) % 97) for j in range(len(w) - n + 1)]
+        assert sorted(zip(of.tolist(), bucket.tolist())) == sorted(want)
