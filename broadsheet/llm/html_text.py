@@ -2,10 +2,12 @@
 
 Markup is stripped to one line per block; elements that are never main text
 (scripts, menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments) leave a gap.  A line weighs its text outside links; lines of an
-``article`` or ``main`` element always weigh enough.  Text lengths are summed
-over windows of ``WINDOW`` lines.  The curve surges where a window passes
-``SURGE`` and dives where the lines run out in a gap; the text between is kept.
+comments) leave a gap, and so does everything outside an ``article`` or
+``main`` element if a page has one.  A line weighs its text outside links.
+Text lengths are summed over windows of ``WINDOW`` lines.  The curve surges
+where a window reaches ``SHARE`` of the page's greatest window; from a surge
+the kept text reaches back to the last dive and on to the next, where a whole
+window weighs nothing.
 
 Null and empty pages give the empty text.  Unclosed elements end with their
 parent or the page, a tag cut off at the end is dropped, and broken character
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 from broadsheet.llm.common import map_text
 
 WINDOW = 3
-SURGE = 80
+SHARE = 0.25
 RAW = "script style noscript template svg math iframe object canvas select textarea title".split()
 SKIPPED = "nav footer aside form button menu dialog noscript label fieldset audio video".split()
 BLOCKS = set(
@@ -143,23 +145,38 @@ def _lines(page: str) -> list[tuple[str, int, bool] | None]:
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The kept blocks of a page, joined by newlines."""
+def main_text(page: str | None, share: float = SHARE) -> str:
+    """The kept blocks of a page, joined by newlines.
+
+    A block weighs its text outside links; a gap weighs nothing.  The curve of
+    window sums falls to zero only where ``WINDOW`` blocks in a row weigh
+    nothing: those places cut the page into runs.  A run is kept if its curve
+    surges to ``share`` of the page's greatest window; it reaches back to the
+    dive before it and on to the next.  Blocks of link text only at the edges
+    of a kept run are left out.
+    """
     lines = _lines(page or "")
     if any(x is not None and x[2] for x in lines):
         # A page that names its main element has gaps everywhere else.
         lines = [x if x is not None and x[2] else None for x in lines]
-    weight = [0 if x is None else max(x[1], SURGE if x[2] else 0) for x in lines]
+    weight = [0 if x is None else x[1] for x in lines]
     sums = [sum(weight[i : i + WINDOW]) for i in range(len(weight))]
+    top = max(sums, default=0)
+    if top <= 0:
+        return ""
     kept, at = [], 0
     while at < len(lines):
-        if lines[at] is None or sums[at] < SURGE or not weight[at]:
+        if not weight[at]:
             at += 1
             continue
-        # Surge at this line; dive where a gap or a window of empty weight follows.
-        while at < len(lines) and lines[at] is not None and sums[at]:
-            kept.append(lines[at][0])
-            at += 1
+        # From here the curve stays above zero until a whole window is empty.
+        end = at
+        while end < len(lines) and sums[end] > 0:
+            end += 1
+        if any(sums[i] >= share * top for i in range(at, end)):
+            last = max(i for i in range(at, end) if weight[i])
+            kept += [lines[i][0] for i in range(at, last + 1) if lines[i] is not None]
+        at = end
     return "\n".join(kept)
 
 

@@ -64,3 +64,23 @@ def test_table(spark):
     got = html_text.extract(pages).select("page_id", "text", "n_chars").collect()
     assert sorted(map(tuple, got)) == [(1, "", 0), (1, TEXT, len(TEXT)), (2, "", 0)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_div_only_page_keeps_short_first_blocks():
+    long = "Running text of the story that goes on for a while and says a lot of things. "
+    page = (
+        "<body><nav><a href='/'>Home</a></nav><div class='wrap'><div><h2>Title</h2><p>By Ann, May 2</p>"
+        f"<p>{long * 4}</p><p>{long * 2}</p><p>Ends.</p></div></div>"
+        "<div class='footer'>Contact</div></body>"
+    )
+    body = f"Title\nBy Ann, May 2\n{(long * 4).strip()}\n{(long * 2).strip()}\nEnds."
+    assert html_text.main_text(page) == body
+
+
+def test_short_article_is_kept_whole_and_weak_runs_go():
+    assert html_text.main_text("<body><div><p>Only a line.</p><p>And one.</p></div></body>") == "Only a line.\nAnd one."
+    long = "Words of the article proper that carry the page from start to end. " * 5
+    links = "".join(f"<p><a href='/{i}'>Link {i}</a></p>" for i in range(5))
+    page = f"<body><div><p>{long}</p></div>{links}<div><p>Share</p><p>Print</p></div></body>"
+    assert html_text.main_text(page) == long.strip()
+    assert html_text.main_text("<body><p><a href='/a'>Only links</a></p></body>") == ""
