@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.functions.text import strip_sql
 from broadsheet.schema import CATEGORY_LABELS, REQUIRED_COLUMNS, SIZE_LABELS, SURPLUS_FLAG
@@ -45,11 +46,46 @@ def _label_rules(field: str, labels: list[str]) -> list[Rule]:
     return [Rule(field, "not an allowed label", f"coalesce({field} NOT IN ({allowed}), true)")]
 
 
-def _range_rules(field: str, low: int | None, high: int | None, nullable: bool = True) -> list[Rule]:
-    # Numbers may come as text or as doubles: 5, 5.0 and '5.0' are whole, 5.5 is not.
-    number = f"try_cast(CAST({field} AS string) AS double)"
+_WHOLE_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*(\.0*)?$"
+#: Spellings of a flag in text, as the typed fields of the reference take them (fixed values).
+FLAG_TRUE = ("1", "on", "t", "true", "y", "yes")
+FLAG_FALSE = ("0", "off", "f", "false", "n", "no")
+
+
+def _kind(columns, field: str) -> str:
+    """``integral``, ``fractional``, ``boolean`` or ``text``: how a field's type is compared."""
+    fields = getattr(columns, "fields", None)
+    kind = next((f.dataType for f in fields if f.name == field), None) if fields else None
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "integral"
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return "fractional"
+    if isinstance(kind, T.BooleanType):
+        return "boolean"
+    return "text"
+
+
+def _range_rules(field: str, low: int | None, high: int | None, nullable: bool = True, columns=None) -> list[Rule]:
+    """Whole-number and range rules, compiled for the field's type.
+
+    Integers are compared as they are; fractional numbers must have no
+    fraction (NaN and infinities have one); text must read as a whole number:
+    digits with an optional sign, underscores between digits and a fraction
+    of zeros ("5d" and "1e3" do not).
+    """
+    kind = _kind(columns, field)
     given = f"{field} IS NOT NULL AND " if nullable else ""
-    rules = [Rule(field, "not a whole number", f"{given}coalesce({number} % 1 <> 0, true)")]
+    if kind == "integral":
+        whole, number = ("false" if nullable else f"{field} IS NULL"), field
+    elif kind == "boolean":
+        whole, number = ("false" if nullable else f"{field} IS NULL"), f"int({field})"
+    elif kind == "fractional":
+        whole, number = f"{given}coalesce(NOT ({field} % 1 = 0), true)", field
+    else:
+        text = f"trim(CAST({field} AS string))"
+        whole = f"{given}coalesce(NOT ({text} RLIKE r'{_WHOLE_TEXT}'), true)"
+        number = rf"try_cast(regexp_replace({text}, r'_|\.0*$', '') AS decimal(38, 0))"
+    rules = [Rule(field, "not a whole number", whole)]
     if low is not None:
         rules.append(Rule(field, f"below {low}", f"coalesce({number} < {low}, false)"))
     if high is not None:
@@ -57,8 +93,21 @@ def _range_rules(field: str, low: int | None, high: int | None, nullable: bool =
     return rules
 
 
-def raw_rules(columns: list[str]) -> list[Rule]:
+def _flag(field: str, columns) -> tuple[str, str]:
+    """SQL for (the field is no flag, the flag is set), compiled for the field's type."""
+    kind = _kind(columns, field)
+    if kind == "boolean":
+        return "false", f"coalesce({field}, false)"
+    if kind in ("integral", "fractional"):
+        return f"coalesce(NOT ({field} IN (0, 1)), false)", f"coalesce({field} = 1, false)"
+    text = f"lower(trim(CAST({field} AS string)))"
+    spellings = ", ".join(f"'{x}'" for x in FLAG_TRUE + FLAG_FALSE)
+    return f"coalesce(NOT ({text} IN ({spellings})), false)", f"coalesce({text} IN ({', '.join(repr(x) for x in FLAG_TRUE)}), false)"
+
+
+def raw_rules(columns) -> list[Rule]:
     """Rules for rows as read.  Columns a table need not have are skipped."""
+    columns = [getattr(c, "name", c) for c in getattr(columns, "fields", columns)]
     rules = []
     if SURPLUS_FLAG in columns:
         rules.append(Rule("<row>", "more cells than columns", f"coalesce({SURPLUS_FLAG}, false)"))
@@ -75,7 +124,7 @@ def raw_rules(columns: list[str]) -> list[Rule]:
     return rules
 
 
-def clean_rules(columns: list[str]) -> list[Rule]:
+def clean_rules(columns) -> list[Rule]:
     """Rules for cleaned rows."""
     rules = _text_rules("article_id") + _text_rules("company_name")
     date, bare = "published_date", strip_sql("published_date")
@@ -85,29 +134,34 @@ def clean_rules(columns: list[str]) -> list[Rule]:
         Rule(date, "not an ISO date", f"coalesce(NOT ({date} {iso} OR {bare} = '' OR {bare} {iso}), true)"),
     ]
     rules += _label_rules("category", CATEGORY_LABELS)
-    rules += _range_rules("revenue_usd", 0, None, nullable=False)
-    rules += _range_rules("pub_year", 1900, 2100)
-    rules += _range_rules("pub_quarter", 1, 4)
-    rules += _range_rules("pub_month", 1, 12)
+    rules += _range_rules("revenue_usd", 0, None, nullable=False, columns=columns)
+    rules += _range_rules("pub_year", 1900, 2100, columns=columns)
+    rules += _range_rules("pub_quarter", 1, 4, columns=columns)
+    rules += _range_rules("pub_month", 1, 12, columns=columns)
     parts = " + ".join(f"int({c} IS NULL)" for c in ("pub_year", "pub_quarter", "pub_month"))
     rules.append(Rule("<row>", "date parts partly missing", f"{parts} NOT IN (0, 3)", whole_row=True))
     return rules
 
 
-def enriched_rules(columns: list[str]) -> list[Rule]:
-    """Rules for enriched rows: the clean rules and those on company fields."""
+def enriched_rules(columns) -> list[Rule]:
+    """Rules for enriched rows: the clean rules and those on company fields.
+
+    ``columns`` is a schema, whose types decide how numbers and flags are
+    compared, or a list of names (then every field is taken as text).
+    """
+    names = [getattr(c, "name", c) for c in getattr(columns, "fields", columns)]
     rules = clean_rules(columns)
-    matched = "try_cast(CAST(metadata_matched AS string) AS boolean)"
+    no_flag, matched = _flag("metadata_matched", columns)
     rules.append(Rule("metadata_matched", "missing", "metadata_matched IS NULL"))
-    rules.append(Rule("metadata_matched", "not a flag", f"metadata_matched IS NOT NULL AND {matched} IS NULL"))
-    if "meta_founded_year" in columns:
-        rules += _range_rules("meta_founded_year", 1800, 2100)
-    if "meta_employee_count" in columns:
-        rules += _range_rules("meta_employee_count", 0, None)
+    rules.append(Rule("metadata_matched", "not a flag", f"metadata_matched IS NOT NULL AND {no_flag}"))
+    if "meta_founded_year" in names:
+        rules += _range_rules("meta_founded_year", 1800, 2100, columns=columns)
+    if "meta_employee_count" in names:
+        rules += _range_rules("meta_employee_count", 0, None, columns=columns)
     rules += _label_rules("company_size_category", SIZE_LABELS)
-    rules += _range_rules("company_age", -10, 300)
-    founded = "meta_founded_year" if "meta_founded_year" in columns else "NULL"
-    unfounded = f"coalesce({matched}, false) AND {founded} IS NULL"
+    rules += _range_rules("company_age", -10, 300, columns=columns)
+    founded = "meta_founded_year" if "meta_founded_year" in names else "NULL"
+    unfounded = f"{matched} AND {founded} IS NULL"
     rules.append(Rule("<row>", "matched without founding year", unfounded, whole_row=True))
     return rules
 
@@ -162,7 +216,7 @@ def tag_stage(df: DataFrame, stage: str) -> DataFrame:
     A row that an earlier stage marked keeps that mark and counts once.
     """
     check_columns(df, stage)
-    rules = RULES[stage](df.columns)
+    rules = RULES[stage](df.schema)
     seen = "outcome" in df.columns
     before = F.col("outcome") if seen else F.lit(None).cast("string")
     faults = F.col("violations") if seen else F.lit(None).cast(VIOLATION_TYPE)

@@ -195,6 +195,39 @@ def test_numbers_and_flags_as_text_or_doubles(spark):
     assert found == {i: want for i, (_, want) in enumerate(cases)}
 
 
+def _faults(spark, kinds, base, cases):
+    names = list(ENRICHED)
+    types = {n: kinds.get(n) or (RAW_TYPES | ENRICHED_TYPES)[n].simpleString() for n in names}
+    rows = [tuple((base | change | {"article_id": f"N{i}"})[n] for n in names) for i, (change, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in types.items()))
+    found = {i: set() for i in range(len(cases))}
+    for r in split_stage(df, "enriched").rejects.collect():
+        found[int(r.article_id[1:])].add((r.field, r.rule))
+    return found
+
+
+def test_typed_rules_follow_the_reference_fields(spark):
+    """Text numbers by a strict grammar, flags by their spellings, integers as integers."""
+    kinds = {"meta_employee_count": "string", "metadata_matched": "string", "company_age": "bigint"}
+    base = ENRICHED | {"meta_employee_count": "31250", "metadata_matched": "true", "company_age": 26}
+    cases = [
+        ({"meta_employee_count": "5d"}, {("meta_employee_count", "not a whole number")}),
+        ({"meta_employee_count": "1e3"}, {("meta_employee_count", "not a whole number")}),
+        ({"meta_employee_count": "1_000"}, set()),
+        ({"meta_employee_count": " +12 "}, set()),
+        ({"meta_employee_count": "-3"}, {("meta_employee_count", "below 0")}),
+        ({"metadata_matched": "on"}, set()),
+        ({"metadata_matched": "OFF", "meta_founded_year": None}, set()),
+        ({"metadata_matched": "1.0"}, {("metadata_matched", "not a flag")}),
+        ({"company_age": 301}, {("company_age", "above 300")}),
+        ({"company_age": 2**62 + 1}, {("company_age", "above 300")}),
+    ]
+    assert _faults(spark, kinds, base, cases) == {i: want for i, (_, want) in enumerate(cases)}
+    numbers = {"metadata_matched": "double"}
+    flags = [({"metadata_matched": 1.0}, set()), ({"metadata_matched": 0.0, "meta_founded_year": None}, set()), ({"metadata_matched": 0.5}, {("metadata_matched", "not a flag")})]
+    assert _faults(spark, numbers, ENRICHED | {"metadata_matched": 1.0}, flags) == {i: want for i, (_, want) in enumerate(flags)}
+
+
 def test_absent_columns_as_rows(spark):
     df = table(spark, "raw", [{}, {}]).drop("url")
     assert [tuple(r) for r in column_faults(df, "raw").collect()] == [("raw", "url", 2)]
