@@ -7,8 +7,9 @@ offset fitted by logistic regression.  A text gets the language whose codeword
 has the least loss, bits weighted by their accuracy on the sample; a text whose
 two best codewords are close is flagged ambiguous.
 
-The fit uses a bounded sample: at most ``SAMPLE`` distinct texts, shared equally
-by the ``MAX_LANGUAGES`` languages with most texts, chosen by text hash.  Prediction is one narrow pass over whole
+The fit uses a bounded sample of distinct texts chosen by text hash: ``SAMPLE``
+shared equally by all languages, but at least ``PER_LANGUAGE`` of each, so the
+sample grows with the number of languages and every language is learned.  Prediction is one narrow pass over whole
 texts.  Null texts and texts without a letter are ``und`` with score 0; so is
 everything if no language was learned.
 """
@@ -27,7 +28,7 @@ from broadsheet.llm.common import hash_limit, map_text, worker_cache
 from broadsheet.llm.toxicity import ngram_hashes
 
 SAMPLE = 4000
-MAX_LANGUAGES = 400
+PER_LANGUAGE = 25
 FIT_CHARS = 32768
 SIZES = (1, 2, 3)
 HASH_BITS = 15
@@ -147,10 +148,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     )
     rows = rows.where(F.length("text") <= fit_chars).withColumn("h", F.xxhash64("text"))
     distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
-    # The most frequent languages; all others would get too few texts of the sample.
-    sizes = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-    known = sizes.limit(min(MAX_LANGUAGES, sample)).collect()
-    each = sample // max(1, len(known))
+    # One row per language: a list as long as the number of languages.
+    known = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
+    each = max(PER_LANGUAGE, sample // max(1, len(known)))
     limits = rows.sparkSession.createDataFrame([(r["lang"], hash_limit(each, r["n"])) for r in known], "lang string, most long")
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     chosen = distinct.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most"))

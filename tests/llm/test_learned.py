@@ -100,9 +100,12 @@ def test_language_sample_is_bounded_and_shared(spark, monkeypatch):
     rows = [(f"text {i}", "aa") for i in range(50)] + [("copy", "aa")] * 50 + [(f"word {i}", "bb") for i in range(3)]
     rows += [("rare", "cc"), (None, "aa"), ("x", None)]
     monkeypatch.setattr(language, "fit_texts", lambda texts, langs: (texts, langs))
-    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    monkeypatch.setattr(language, "PER_LANGUAGE", 2)
     texts, langs = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample=20)
-    assert len(texts) == len(set(texts)) == 13 and langs.count("aa") == 10 and langs.count("bb") == 3
+    assert len(texts) == len(set(texts)) == 10 and langs.count("aa") == 6 and langs.count("bb") == 3 and langs.count("cc") == 1
+    monkeypatch.setattr(language, "PER_LANGUAGE", 25)
+    texts, langs = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample=20)
+    assert len(texts) == len(set(texts)) == 29 and langs.count("aa") == 25
     assert language.fit(spark.createDataFrame([], "text string, lang string")) == ([], [])
 
 
@@ -122,3 +125,63 @@ def test_held_out_accuracy(spark):
     scored = QUERIES["op3_toxicity"](spark, SF).join(labels, "doc_id").where("held_out")
     clean, toxic = (scored.where(f"toxic = {v}").selectExpr("avg(score)").first()[0] for v in (0, 1))
     assert toxic > clean + 0.3
+
+
+def plain_ngram_hashes(codes, sizes, bits):
+    """The n-gram numbers of ``toxicity.ngram_hashes``, one n-gram at a time in Python integers."""
+    out = []
+    for n in sizes:
+        factors = [pow(0x9E3779B1, j + 1, 1 << 32) for j in range(n)]
+        for i in range(len(codes) - n + 1):
+            total = sum(codes[i + j] * factors[j] for j in range(n)) & 0xFFFFFFFF
+            h = ((total ^ (total >> 15)) * (0x85EBCA6B + 2 * n)) & 0xFFFFFFFF
+            out.append((h ^ (h >> 13)) >> (32 - bits))
+    return out
+
+
+def test_toxicity_query_equals_a_plain_dictionary_of_ngrams(spark):
+    from collections import Counter
+
+    from broadsheet.llm.queries import toxicity_model
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity_model(spark, docs, sf)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op3_toxicity"](spark, sf).collect()}
+    for doc_id in sorted(texts)[:300]:
+        codes = [ord(c) for c in f" {(texts[doc_id] or '').lower()} "]
+        counts = Counter(h for h in plain_ngram_hashes(codes, toxicity.SIZES, toxicity.HASH_BITS) if model.look[h])
+        repeated = {int(toxicity._repeated(np.array([h], np.uint32))[0]) for h, c in counts.items() if c >= toxicity.REPEATED}
+        z = model.bias + sum(float(model.weight[f]) for f in set(counts) | repeated)
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-6)
+
+
+def test_language_query_equals_plain_ngram_counts(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.fit(docs.where(~held_out(docs["doc_id"], 5, 0)))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in QUERIES["op8_language_id"](spark, sf).collect()}
+    for r in sorted(docs.collect(), key=lambda r: r["doc_id"])[:300]:
+        spaced, last = [], True
+        for c in f" {(r['text'] or '').lower()} ":
+            letter = c.isalpha()
+            if letter or last:
+                spaced.append(ord(c) if letter else 32)
+            last = letter
+        if not any(c != 32 for c in spaced):
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        h = plain_ngram_hashes(spaced, language.SIZES, language.HASH_BITS)
+        margins = model.weight[h].astype(np.float64).sum(axis=0) / len(h) * model.scale + model.offset
+        losses = (model.trust * np.logaddexp(0, -model.code * margins)).sum(axis=1)
+        best = int(np.argmin(losses))
+        near = np.exp(-(losses - losses[best]))
+        assert got[r["doc_id"]][0] == model.languages[best]
+        assert got[r["doc_id"]][1] == pytest.approx(near[best] / near.sum(), abs=1e-6)
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i % 26] * 5} text number {i}", f"l{i % 450}") for i in range(450 * 3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=400)
+    assert len(model.languages) == 450
