@@ -362,3 +362,5 @@ EXPECTED = {
         )}"""
     ),
 }
+
+EXPECTED["csv_split_roundtrip"] = EXPECTED["csv_roundtrip"]

@@ -21,7 +21,7 @@ from broadsheet.plans.search import SearchSession, attach_vectors, store_article
 from broadsheet.plans.similarity_export import export_projection, run_similarity_export, similarity_export
 from broadsheet.schema import COMPANY_FIELDS, EXPORT_COLUMNS, OUTPUT_COLUMNS, RAW_COLUMNS
 from broadsheet.session import configure, new_folder, spread
-from broadsheet.sources.articles import read_articles_csv, read_enriched
+from broadsheet.sources.articles import read_articles_csv, read_articles_csv_split, read_enriched
 from broadsheet.sources.companies import default_companies, parse_companies, write_companies_json
 from broadsheet.sources.exports import write_articles_csv, write_enriched, write_export
 
@@ -230,6 +230,13 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_articles_csv(spark, path).select(*RAW_COLUMNS)
 
 
+def csv_split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written articles read back by ranges of the file, records with quoted line breaks included."""
+    path = new_folder(spark, "raw-csv-split")
+    write_articles_csv(raw_articles(spark, sf_dir), path)
+    return read_articles_csv_split(spark, path).select(*RAW_COLUMNS)
+
+
 def export_json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "export-csv")
     vectors = article_vectors(spark, sf_dir)
@@ -409,6 +416,7 @@ _ALL = [
     document_neighbours,
     search_by_text,
     csv_roundtrip,
+    csv_split_roundtrip,
     export_json_arrays,
     company_dimension,
     load_replace,

@@ -344,3 +344,22 @@ def test_neighbours_come_from_the_whole_table(spark, search_table):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
+
+
+def test_split_reader_equals_the_whole_file_reader(spark, tmp_path):
+    from broadsheet.sources.articles import read_articles_csv, read_articles_csv_split
+    from broadsheet.sources.exports import write_articles_csv
+
+    texts = ["plain", 'with "quotes"', "two\nlines", "a\n\n\nblank run", '"\n"\n', "x\r\ny", "", None, "é ünï\ncode"]
+    rows = [(f"A{i}", texts[i % len(texts)] if i % 7 else "long " * 300 + "\nend", str(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "article_id string, summary string, title string").coalesce(1)
+    path = str(tmp_path / "csv")
+    write_articles_csv(df, path)
+    whole = sorted(map(tuple, read_articles_csv(spark, path).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 10  # ranges that cut records apart
+        got = sorted(map(tuple, read_articles_csv_split(spark, path).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == whole and len(got) == 600
