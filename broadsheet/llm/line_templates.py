@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadsheet.llm.common import map_text
+from broadsheet.session import materialise
 
 DEPTH = 3
 FIELDS = 4
@@ -96,8 +97,12 @@ def template_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, body, drop)``: the places of the lines to drop from a document."""
-    rows = template_rows(docs, key, text)
+    """``(doc, body, drop)``: the places of the lines to drop from a document.
+
+    The template rows are stored once: both the first holders and the lines to
+    drop come from them, and lines are parsed and hashed a single time.
+    """
+    rows = materialise(template_rows(docs, key, text))
     first = rows.groupBy("template").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     first = first.where("first < last").select("template", "first")
     found = rows.join(first, "template").where("doc > first")
