@@ -1,8 +1,8 @@
 """Match article company names to the company dimension and attach its fields.
 
 Names are resolved once per distinct value, by joins: exact, then ignoring case,
-then by the best similarity ratio among the keys that share enough pairs of
-letters to reach it.  Spark sizes the joins.  The map from names to fields goes
+then by the best similarity ratio among the keys that share enough letters and
+pairs of letters to reach it.  Spark sizes the joins.  The map from names to fields goes
 to the articles by broadcast up to ``BROADCAST_BYTES`` (measured); beyond that
 the names that are measured to be hot do, and the others are joined by shuffle.
 """
@@ -10,9 +10,12 @@ the names that are measured to be hot do, and the others are joined by shuffle.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,10 @@ from broadsheet.session import materialise, settled
 
 CUTOFF = 0.75
 BROADCAST_BYTES = 64 << 20
+# Texts of a part that meets others, buckets and repeats of the letters that are
+# counted, and bits for the letter pairs of a text.
+PART = 8192
+LETTERS, REPEATS, PAIR_BITS = 32, 4, 1024
 # A name is hot when it has more than this share of all rows: so there are at
 # most as many hot names as the share goes into one, whatever the data.
 HOT_SHARE = 1 / 1000
@@ -52,69 +59,97 @@ def _needed(length: int, cutoff: float) -> int:
     return 3 * m - length - 1
 
 
-def _pairs_of_letters(text: str) -> Column:
-    """Numbered letter pairs: ``("an", 1)`` is the second "an"."""
-    size = F.char_length(text)
-    pairs = F.transform(
-        F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.col(text).substr(i, F.lit(2)),
-    )
-    ordered = F.sort_array(pairs)
-    return F.transform(ordered, lambda c, i: F.concat(c, (i - F.array_position(ordered, c) + 1).cast("string")))
-
-
-def _characters(text: str, size: str, ratio: float) -> Column:
-    """Tokens of the prefix that any good enough partner shares.
-
-    A text is a bag of characters; ``("a", 2)`` stands for its third "a".  A
-    ratio of at least ``ratio`` needs a common bag of ``ratio / (2 - ratio)``
-    of the length, so two matching texts agree on one of the first tokens when
-    all texts order theirs alike.  The order is by falling code point, which
-    puts accents, other scripts and the rarer late letters first.
-    """
-    letters = F.sort_array(F.split(F.col(text), ""), asc=False)
-    numbered = F.transform(
-        letters,
-        lambda c, i: F.concat(c, F.lit(":"), (i - F.array_position(letters, c) + 1).cast("string")),
-    )
-    share = ratio / (2 - ratio)
-    keep = F.col(size) - F.greatest(F.ceil(F.col(size) * share - 1e-9), F.lit(1)) + 1
-    return F.slice(numbered, 1, keep.cast("int"))
+def _tokens(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Number each code within its text: the second "a" of a text has 1."""
+    order = np.lexsort((codes, owner))
+    c, o = codes[order], owner[order]
+    first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (o[1:] != o[:-1])]) if len(c) else np.zeros(0, np.int64)
+    number = np.empty(len(c), np.int64)
+    number[order] = np.arange(len(c)) - np.repeat(first, np.diff(np.r_[first, len(c)]))
+    return number
+
+
+def _profile(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, letter table, letters it leaves out, letter-pair bits and pairs they hide, of each text."""
+    size = np.array([len(t) for t in texts], np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), size)
+    # Letters by bucket and occurrence; letters that share a bucket only add candidates.
+    bucket = codes % LETTERS
+    number = _tokens(bucket, owner)
+    kept = number < REPEATS
+    table = np.zeros((len(texts), LETTERS * REPEATS), np.float32)
+    table[owner[kept], bucket[kept] * REPEATS + number[kept]] = 1
+    beyond = np.bincount(owner[~kept], minlength=len(texts))
+    inner = np.flatnonzero(owner[1:] == owner[:-1])
+    pair, of = codes[inner] * 0x110000 + codes[inner + 1], owner[inner]
+    mixed = (pair * 64 + _tokens(pair, of)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    place = (mixed >> np.uint64(40)) % np.uint64(PAIR_BITS)
+    bits = np.zeros((len(texts), PAIR_BITS), bool)
+    bits[of, place] = True
+    hidden = np.bincount(of, minlength=len(texts)) - bits.sum(axis=1)
+    return size, table, beyond, np.packbits(bits, axis=1).view(np.uint64), hidden
+
+
+def _alike(cutoff: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Function of some names and some keys: the pairs that may reach ``cutoff``."""
+
+    def alike(names: pa.Table, keys: pa.Table) -> pa.Table:
+        left, right = names.column("name").to_pylist(), keys.column("company_key").to_pylist()
+        i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if left and right:
+            n, a, more, a_bits, a_hidden = _profile(left)
+            k, b, _, b_bits, _ = _profile(right)
+            # A ratio of m common letters is 2 m over both lengths.
+            a = np.column_stack([a, more - cutoff / 2 * n, np.ones(len(n))]).astype(np.float32)
+            b = np.column_stack([b, np.ones(len(k)), -cutoff / 2 * k]).astype(np.float32)
+            room = np.empty(256 * 2048, np.float32)
+            for top in range(0, len(n), 256):
+                for begin in range(0, len(k), 2048):
+                    some, others = a[top : top + 256], b[begin : begin + 2048].T
+                    scores = np.matmul(some, others, out=room[: len(some) * others.shape[1]].reshape(len(some), -1))
+                    at = np.flatnonzero(scores >= -1e-2 - 1e-5 * n.max())
+                    x, y = top + at // scores.shape[1], begin + at % scores.shape[1]
+                    both = n[x] + k[y]
+                    fit = 2 * np.minimum(n[x], k[y]) >= cutoff * both - 1e-9
+                    x, y, both = x[fit], y[fit], both[fit]
+                    needed = 3 * np.ceil(cutoff * both / 2 - 1e-9) - both - 1
+                    for part in range(0, len(x), 1 << 16):
+                        p, q = x[part : part + (1 << 16)], y[part : part + (1 << 16)]
+                        shared = np.bitwise_count(a_bits[p] & b_bits[q]).sum(axis=1, dtype=np.int64) + a_hidden[p]
+                        good = shared >= needed[part : part + (1 << 16)]
+                        i.append(p[good])
+                        j.append(q[good])
+        found, key = np.concatenate(i), np.concatenate(j)
+        return pa.table({"name": pa.array([left[x] for x in found], pa.string()), "company_key": pa.array([right[x] for x in key], pa.string())})
+
+    return alike
 
 
 def candidates(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
     """``(name, company_key)`` pairs whose ratio may reach ``cutoff``; misses none.
 
-    Pairs of texts that must share letter pairs are joined on those and kept
-    when they share enough of them.  Texts too short for that, or any at low
-    cutoffs, are joined on the letters that a good enough partner must share.
+    Bounded parts of the names meet bounded parts of the keys.  A matrix product
+    counts the letters two texts have in common; of the pairs with enough, those
+    stay that share enough letter pairs (``_needed``).
     """
-    dim = dimension.select("company_key", F.char_length("company_key").alias("klen")).where("klen > 0")
-    who = names.select("name", F.char_length("name").alias("nlen")).where("nlen > 0")
-    both = F.col("nlen") + F.col("klen")
-    possible = 2 * F.least("nlen", "klen") >= cutoff * both - 1e-9
-    needed = 3 * F.ceil(cutoff * both / 2 - 1e-9) - both - 1
-    found = (
-        who.withColumn("pair", F.explode(_pairs_of_letters("name")))
-        .join(dim.withColumn("pair", F.explode(_pairs_of_letters("company_key"))), "pair")
-        .where(possible & (needed >= 1))
-        .groupBy("name", "company_key", needed.alias("needed"))
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where("shared >= needed")
-        .select("name", "company_key")
-    )
-    # Above a cutoff of 2/3 only texts up to some length can do without pairs.
-    steep = cutoff > 2 / 3 + 1e-6
-    longest = max((n for n in range(1, math.ceil(6 / (3 * cutoff - 2)) + 3) if _needed(n, cutoff) < 1), default=0) if steep else None
-    if longest is not None:
-        who, dim = who.where(F.col("nlen") < longest), dim.where(F.col("klen") < longest)
-    by_letter = (
-        who.withColumn("letter", F.explode(_characters("name", "nlen", cutoff)))
-        .join(dim.withColumn("letter", F.explode(_characters("company_key", "klen", cutoff))), "letter")
-        .where(possible & (needed < 1))
-        .select("name", "company_key")
-    )
-    return found.union(by_letter).distinct()
+    who = names.select("name").where("name <> ''").distinct()
+    dim = dimension.select("company_key").where("company_key <> ''").distinct()
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    n, k = (max(1, math.ceil(rows / PART), min(cores, rows // 512)) for rows in (who.count(), dim.count()))
+
+    def part(text: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(text), F.lit(parts)).cast("int")
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    left = who.withColumn("a", part("name", n)).withColumn("b", every(k))
+    right = dim.withColumn("b", part("company_key", k)).withColumn("a", every(n))
+    tasks = max(1, min(n * k, 16 * cores))
+    left, right = (df.repartition(tasks, "a", "b") for df in (left, right))
+    met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
+    return met.applyInArrow(_alike(cutoff), "name string, company_key string")
 
 
 def best_similar(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
