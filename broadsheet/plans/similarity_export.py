@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.operators.embedding import Embedder, HashedWords, embed, text_to_embed
+from broadsheet.operators.embedding import Embedder, HashedWords
 from broadsheet.operators.relevance import export_condition
 from broadsheet.operators.similarity import ROW, neighbour_ids, neighbours, with_rows
-from broadsheet.plans.search import store_articles
+from broadsheet.plans.search import store_embedded
 from broadsheet.schema import EXPORT_COLUMNS
 from broadsheet.sources.articles import read_enriched
 from broadsheet.sources.exports import write_export
@@ -44,9 +44,6 @@ def run_similarity_export(
 ) -> DataFrame:
     """Run the whole job; returns the stored article table with its vectors."""
     enriched = read_enriched(spark, input_path, input_format, multi_line)
-    fitted = (embedder or HashedWords()).fit(
-        enriched.withColumn("text_to_embed", text_to_embed()), "text_to_embed"
-    )
-    articles = store_articles(embed(enriched, fitted))
+    articles = store_embedded(enriched, embedder or HashedWords())
     write_export(similarity_export(articles, condition, k), output_path, output_format)
     return articles

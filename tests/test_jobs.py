@@ -331,6 +331,21 @@ def test_similarity_job(spark, tmp_path):
         assert len(near) == 3 and r["article_id"] not in near and len(json.loads(r["embedding"])) == DIMENSIONS
 
 
+def test_stored_vectors_are_counts(spark):
+    """The table keeps word counts, split once, and gives the vectors of the fitted embedder."""
+    from broadsheet.plans.search import store_embedded
+
+    rows = [(f"A{i}", f"word{i % 7} word{i % 7} shared", None if i % 5 == 0 else f"x{i % 3} y") for i in range(40)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "article_id string, title string, summary string").repartition(3)
+    fitted = HashedWords().fit(df.withColumn("t", text_to_embed()), "t")
+    want = sorted((str(r.article_id), r.text_to_embed, list(r.embedding)) for r in embed(df, fitted).collect())
+    stored = store_embedded(df, HashedWords(), "counted")
+    assert stored.columns == ["article_id", "title", "summary", "text_to_embed", "embedding", "row_id"]
+    assert sorted((str(r.article_id), r.text_to_embed, list(r.embedding)) for r in spark.table("counted").collect()) == want
+    kept = spark.read.parquet(stored.inputFiles()[0].rsplit("/", 1)[0])
+    assert "embedding" not in kept.columns and max(len(r.word_counts.indices) for r in kept.collect()) <= 6
+
+
 def test_neighbours_come_from_the_whole_table(spark, search_table):
     vectors = {"ART0001": [1.0, 0.0], "ART0002": [0.0, 1.0], "ART0003": [1.0, 0.1]}
     df = search_table.withColumn("embedding", F.when(F.col("article_id") == "ART0001", F.lit(vectors["ART0001"])).when(F.col("article_id") == "ART0002", F.lit(vectors["ART0002"])).otherwise(F.lit(vectors["ART0003"])))
