@@ -1,8 +1,9 @@
 """Match article company names to the company dimension and attach its fields.
 
 Names are resolved once per distinct value, by joins: exact, then ignoring case,
-then by the best similarity ratio among the keys that share enough letters and
-pairs of letters to reach it.  Spark sizes the joins.  The map from names to fields goes
+then by the best similarity ratio among the keys that share enough letters to
+reach it: parts of names and keys are joined by the runs of letters that two
+texts so alike must have in common.  Spark sizes the joins.  The map from names to fields goes
 to the articles by broadcast up to ``BROADCAST_BYTES`` (measured); beyond that
 the names that are measured to be hot do, and the others are joined by shuffle.
 """
@@ -10,7 +11,7 @@ the names that are measured to be hot do, and the others are joined by shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -24,10 +25,17 @@ from broadsheet.session import materialise, settled
 
 CUTOFF = 0.75
 BROADCAST_BYTES = 64 << 20
-# Texts of a part that meets others, buckets and repeats of the letters that are
-# counted, and bits for the letter pairs of a text.
-PART = 8192
+# Names of a part, of keys twice as many; texts of which all pairs are compared
+# together; so many pairs of a part are compared without picks.
+PART, BLOCK, FEW_PAIRS = 1 << 18, 8192, 1 << 24
+# Buckets and repeats of the letters that are counted, and bits for the letter
+# pairs of a text.
 LETTERS, REPEATS, PAIR_BITS = 32, 4, 1024
+# Nanoseconds for a pair when all are compared, for a pick and for a hit of one.
+PAIR_COST, PICK_COST, HIT_COST = 38.0, 80.0, 40.0
+# Most picks of a text, picks held of names and of keys, hits looked at
+# together, and low bits of a pick that number its row.
+PICKS, NAME_PICKS, KEY_PICKS, HITS, ROW_BITS = 1 << 15, 1 << 22, 10 << 20, 1 << 20, 20
 # A name is hot when it has more than this share of all rows: so there are at
 # most as many hot names as the share goes into one, whatever the data.
 HOT_SHARE = 1 / 1000
@@ -91,17 +99,18 @@ def _profile(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return size, table, beyond, np.packbits(bits, axis=1).view(np.uint64), hidden
 
 
-def _alike(cutoff: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Function of some names and some keys: the pairs that may reach ``cutoff``."""
+# Numbers of names and keys that may be alike.
+_Pairs = Iterator[tuple[np.ndarray, np.ndarray]]
 
-    def alike(names: pa.Table, keys: pa.Table) -> pa.Table:
-        left, right = names.column("name").to_pylist(), keys.column("company_key").to_pylist()
-        i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if left and right:
-            n, a, more, a_bits, a_hidden = _profile(left)
-            k, b, _, b_bits, _ = _profile(right)
+
+def _all_pairs(left: list[str], right: list[str], cutoff: float) -> _Pairs:
+    """The pairs that may reach ``cutoff``, found by comparing all."""
+    for first in range(0, len(left), BLOCK):
+        n, a, more, a_bits, a_hidden = _profile(left[first : first + BLOCK])
+        a = np.column_stack([a, more - cutoff / 2 * n, np.ones(len(n))]).astype(np.float32)
+        for second in range(0, len(right), BLOCK):
+            k, b, _, b_bits, _ = _profile(right[second : second + BLOCK])
             # A ratio of m common letters is 2 m over both lengths.
-            a = np.column_stack([a, more - cutoff / 2 * n, np.ones(len(n))]).astype(np.float32)
             b = np.column_stack([b, np.ones(len(k)), -cutoff / 2 * k]).astype(np.float32)
             room = np.empty(256 * 2048, np.float32)
             for top in range(0, len(n), 256):
@@ -118,10 +127,256 @@ def _alike(cutoff: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
                         p, q = x[part : part + (1 << 16)], y[part : part + (1 << 16)]
                         shared = np.bitwise_count(a_bits[p] & b_bits[q]).sum(axis=1, dtype=np.int64) + a_hidden[p]
                         good = shared >= needed[part : part + (1 << 16)]
-                        i.append(p[good])
-                        j.append(q[good])
-        found, key = np.concatenate(i), np.concatenate(j)
-        return pa.table({"name": pa.array([left[x] for x in found], pa.string()), "company_key": pa.array([right[x] for x in key], pa.string())})
+                        yield first + p[good], second + q[good]
+
+
+# Columns of a name and of a key from which as many letters are picked.
+_Piece = tuple[slice, slice, int]
+
+
+def _pieces(n: int, k: int, common: int, names: int, keys: int, alike: float) -> list[_Piece] | None:
+    """The cheapest pieces by which texts of ``n`` and ``k`` letters with ``common`` ones in order must meet; None for all pairs.
+
+    Either all common letters are picked; or one text is cut in two, and of the
+    letters it has beyond the common ones the first part has at most ``a`` or the
+    second part at most the others less one.  The first common letters of the
+    first part then stand at the start of the other text, the last ones of the
+    second part at its end, with no more letters between than it has to spare.
+    ``alike`` is the chance that two letters are equal.
+    """
+    best, least = None, PAIR_COST * names * keys
+
+    def consider(pieces: list[_Piece]) -> None:
+        nonlocal best, least
+        cost = 0.0
+        for x, y, size in pieces:
+            a, b = math.comb(x.stop - x.start, size), math.comb(y.stop - y.start, size)
+            if size < 1 or a > PICKS or b > PICKS:
+                return
+            cost += PICK_COST * (names * a + keys * b) + HIT_COST * names * keys * a * b * alike**size
+        if cost < least:
+            best, least = pieces, cost
+
+    # Little to win, or too long for the masks that count letters in order.
+    if least < 1e7 or max(n, k) > 64:
+        return None
+    consider([(slice(0, n), slice(0, k), common)])
+    for cut, whole, key_is_cut in ((k, n, True), (n, k, False)):
+        spare, free = cut - common, whole - common
+        for a in range(spare):
+            for at in range(a + 1, cut - (spare - 1 - a)):
+                sizes = at - a, cut - at - (spare - 1 - a)
+                ends = [min(whole, size + free) for size in sizes]
+                mine = slice(0, at), slice(at, cut)
+                other = slice(0, ends[0]), slice(whole - ends[1], whole)
+                consider([(o, m, size) if key_is_cut else (m, o, size) for m, o, size in zip(mine, other, sizes)])
+    return best
+
+
+def _picks(letters: np.ndarray, size: int) -> np.ndarray:
+    """Every choice of ``size`` letters of each row, in order: a hash above the number of the row."""
+    width = letters.shape[1]
+    weights = np.random.default_rng(size).integers(1, 1 << 63, size, np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.empty((math.comb(width, size), len(letters)), np.uint64)
+    low = np.uint64((1 << ROW_BITS) - 1)
+    step = 1 << 13
+    for top in range(0, len(letters), step):
+        columns = np.ascontiguousarray(letters[top : top + step].T).astype(np.uint64) + np.uint64(1)
+        weighed = [[column * w for column in columns] for w in weights]
+        row = np.arange(top, top + columns.shape[1], dtype=np.uint64)
+
+        def grow(at: int, column: int, sum_: np.ndarray | None):
+            for c in range(column, width - size + at + 1):
+                part = weighed[at][c] if sum_ is None else sum_ + weighed[at][c]
+                if at + 1 == size:
+                    yield part
+                else:
+                    yield from grow(at + 1, c + 1, part)
+
+        for number, hashed in enumerate(grow(0, 0, None)):
+            out[number, top : top + len(row)] = (hashed & ~low) | row
+    return out.reshape(-1)
+
+
+def _each_once(picks: np.ndarray) -> np.ndarray:
+    """Sorted, without repeats."""
+    picks.sort()
+    again = np.flatnonzero(picks[1:] == picks[:-1])
+    return np.delete(picks, again) if len(again) else picks
+
+
+class _KeyPicks:
+    """The picks of some keys, to be looked up."""
+
+    def __init__(self, letters: np.ndarray, size: int):
+        picks = _each_once(_picks(letters, size))
+        self.row = (picks & np.uint64((1 << ROW_BITS) - 1)).astype(np.int32)
+        # Most picks of names are no picks of keys, which a few bits of them tell.
+        self.shift = np.uint64(64 - min(26, max(10, 2 + len(picks).bit_length())))
+        picks >>= np.uint64(ROW_BITS)
+        start = np.flatnonzero(np.r_[True, picks[1:] != picks[:-1]])
+        self.hashed = picks[start]
+        self.start = np.r_[start, len(picks)].astype(np.int32)
+        self.some = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.some[self.hashed >> (self.shift - np.uint64(ROW_BITS))] = True
+
+    def hits(self, letters: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of names, and first place and number of the equal picks of keys."""
+        picks = _picks(letters, size)
+        picks = _each_once(picks[self.some[picks >> self.shift]])
+        hashed = picks >> np.uint64(ROW_BITS)
+        at = np.minimum(np.searchsorted(self.hashed, hashed), len(self.hashed) - 1)
+        equal = self.hashed[at] == hashed
+        start = self.start[at[equal]].astype(np.int64)
+        return (picks[equal] & np.uint64((1 << ROW_BITS) - 1)).astype(np.int64), start, self.start[at[equal] + 1] - start
+
+
+def _letter_bits(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of each row by bucket and occurrence as bits, and how many they leave out."""
+    bucket = (letters % LETTERS).astype(np.uint8)
+    bits, beyond = np.zeros((len(letters), LETTERS * REPEATS // 64), np.uint64), np.zeros(len(letters), np.int64)
+    every = np.arange(len(letters))
+    for c in range(letters.shape[1]):
+        seen = (bucket[:, :c] == bucket[:, c : c + 1]).sum(axis=1)
+        place = bucket[:, c].astype(np.int64) * REPEATS + np.minimum(seen, REPEATS - 1)
+        bits[every, place // 64] |= np.where(seen < REPEATS, np.uint64(1) << (place % 64).astype(np.uint64), np.uint64(0))
+        beyond += seen >= REPEATS
+    return bits, beyond
+
+
+def _in_order(names: np.ndarray, i: np.ndarray, keys: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """At least the number of letters that pairs of rows have in common in one order; names of up to 64 letters."""
+    places = np.zeros((len(names), 64), np.uint64)
+    every = np.arange(len(names))
+    for c in range(names.shape[1]):
+        places[every, names[:, c] % 64] |= np.uint64(1 << c)
+    # A bit of a name falls with each further letter in common.
+    left = np.full(len(i), (1 << 64) - 1, np.uint64)
+    for c in range(keys.shape[1]):
+        same = left & places[i, keys[j, c] % 64]
+        left = (left + same) | (left - same)
+    return names.shape[1] - np.bitwise_count(left & np.uint64((1 << names.shape[1]) - 1)).astype(np.int64)
+
+
+def _by_picks(names: np.ndarray, keys: np.ndarray, pieces: list[_Piece], common: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Rows of names and keys (as letters) with at least ``common`` letters in one order.
+
+    Yields both, and whether they are only to be compared: of rows that meet too often, all are.
+    """
+    most = [max(math.comb(p[side].stop - p[side].start, p[2]) for p in pieces) for side in (0, 1)]
+    name_step, key_step = max(1, NAME_PICKS // most[0]), max(1, min(1 << ROW_BITS, KEY_PICKS // most[1]))
+    for second in range(0, len(keys), key_step):
+        some_keys = keys[second : second + key_step]
+        known = [_KeyPicks(some_keys[:, y], size) for _, y, size in pieces]
+        key_bits, _ = _letter_bits(some_keys)
+        for first in range(0, len(names), name_step):
+            some = names[first : first + name_step]
+            found = [of.hits(some[:, x], size) for of, (x, _, size) in zip(known, pieces)]
+            total = sum(int(count.sum()) for *_, count in found)
+            if HIT_COST * total > PAIR_COST * len(some) * len(some_keys):
+                yield first + np.arange(len(some)), second + np.arange(len(some_keys)), True
+                continue
+            bits, beyond = _letter_bits(some)
+            pairs, held = [np.zeros(0, np.int64)], 0
+            for of, (row, start, count) in zip(known, found):
+                # Some picks of names at a time, with about as many hits as are looked at together.
+                for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(np.cumsum(count) // HITS)) + 1):
+                    n = count[part]
+                    i = np.repeat(row[part], n)
+                    j = of.row[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(len(i))].astype(np.int64)
+                    good = np.bitwise_count(bits[i] & key_bits[j]).sum(axis=1, dtype=np.int64) + beyond[i] >= common
+                    pairs.append(np.unique(i[good] * len(some_keys) + j[good]))
+                    held += len(pairs[-1])
+                    if held > NAME_PICKS:
+                        break
+            if held > NAME_PICKS:
+                yield first + np.arange(len(some)), second + np.arange(len(some_keys)), True
+                continue
+            both = np.unique(np.concatenate(pairs))
+            i, j = both // len(some_keys), both % len(some_keys)
+            good = _in_order(some, i, some_keys, j) >= common
+            yield first + i[good], second + j[good], False
+
+
+def _letters(texts: list[str], number: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Rows and numbered letters of the texts of each length."""
+    size = np.array([len(t) for t in texts], np.int64)
+    codes = number[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")]
+    start = np.cumsum(size) - size
+    out = {}
+    for n in np.unique(size).tolist():
+        rows = np.flatnonzero(size == n)
+        out[n] = rows, codes[start[rows][:, None] + np.arange(n)]
+    return out
+
+
+def _by_length(left: list[str], right: list[str], cutoff: float) -> _Pairs:
+    """Like :func:`_all_pairs`, but names and keys of two lengths meet by picks where that is cheaper."""
+    of_keys = np.unique(np.frombuffer("".join(right).encode("utf-32-le", "surrogatepass"), "<u4"))
+    # Letters that no key has get one number.
+    number = np.full(0x110000, len(of_keys), np.int32)
+    number[of_keys] = np.arange(len(of_keys), dtype=np.int32)
+    names, keys = _letters(left, number), _letters(right, number)
+    shares = []
+    for side in (names, keys):
+        counts = sum(np.bincount(letters.ravel(), minlength=len(of_keys) + 1) for _, letters in side.values())
+        shares.append(counts[:-1] / max(1, counts.sum()))
+    alike = float(shares[0] @ shares[1])
+
+    def in_full(some: np.ndarray, others: np.ndarray) -> _Pairs:
+        for x, y in _all_pairs([left[r] for r in some], [right[r] for r in others], cutoff):
+            yield some[x], others[y]
+
+    for n, (some, letters) in names.items():
+        strange = (letters == len(of_keys)).sum(axis=1)
+        rest = []
+        for k, (others, key_letters) in keys.items():
+            common = math.ceil(cutoff * (n + k) / 2 - 1e-9)
+            if 2 * min(n, k) < cutoff * (n + k) - 1e-9:
+                continue
+            able = np.flatnonzero(strange <= n - common)
+            pieces = _pieces(n, k, common, len(able), len(others), alike) if len(able) else []
+            if pieces is None:
+                rest.append(others)
+            elif pieces:
+                for x, y, open_ in _by_picks(letters[able], key_letters, pieces, common):
+                    x, y = some[able[x]], others[y]
+                    yield from in_full(x, y) if open_ else [(x, y)]
+        if rest:
+            yield from in_full(some, np.concatenate(rest))
+
+
+def _together(names: pa.Table, keys: pa.Table) -> pa.Table:
+    """Some names and some keys as one row."""
+    columns = [names.column("name").combine_chunks(), keys.column("company_key").combine_chunks()]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+    return pa.table(dict(zip(("names", "keys"), lists)))
+
+
+def _alike(cutoff: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function of rows of some names and some keys: the pairs that may reach ``cutoff``, some at a time."""
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                names, keys = (batch.column(c)[at].values for c in ("names", "keys"))
+
+                def drawn(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+                    i, j = (np.concatenate(x) for x in zip(*held))
+                    return pa.RecordBatch.from_arrays([names.take(pa.array(i)), keys.take(pa.array(j))], names=["name", "company_key"])
+
+                if not len(names) or not len(keys):
+                    continue
+                left, right = names.to_pylist(), keys.to_pylist()
+                method = _all_pairs if len(left) * len(right) <= FEW_PAIRS else _by_length
+                held = []
+                for pair in method(left, right, cutoff):
+                    held.append(pair)
+                    if sum(len(i) for i, _ in held) >= 1 << 16:
+                        yield drawn(held)
+                        held = []
+                if held:
+                    yield drawn(held)
 
     return alike
 
@@ -129,14 +384,21 @@ def _alike(cutoff: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def candidates(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
     """``(name, company_key)`` pairs whose ratio may reach ``cutoff``; misses none.
 
-    Bounded parts of the names meet bounded parts of the keys.  A matrix product
-    counts the letters two texts have in common; of the pairs with enough, those
-    stay that share enough letter pairs (``_needed``).
+    Bounded parts of the names meet bounded parts of the keys.  Few pairs are all
+    compared: a matrix product counts the letters two texts have in common, and of
+    the pairs with enough, those stay that share enough letter pairs
+    (``_needed``).  In larger parts, names and keys of two lengths are joined by
+    letters picked from them in order, some of which texts so alike must share
+    (``_pieces``); lengths for which that costs more are compared in full.
     """
     who = names.select("name").where("name <> ''").distinct()
     dim = dimension.select("company_key").where("company_key <> ''").distinct()
     cores = names.sparkSession.sparkContext.defaultParallelism
-    n, k = (max(1, math.ceil(rows / PART), min(cores, rows // 512)) for rows in (who.count(), dim.count()))
+    rows, others = who.count(), dim.count()
+    # Some groups for each core, of as many parts of names as of keys where there are enough.
+    n = max(1, math.ceil(rows / PART), min(math.ceil(math.sqrt(4 * cores)), rows // 512))
+    k = max(1, math.ceil(others / (2 * PART)), min(math.ceil(4 * cores / n), others // 512))
+    n = max(n, min(math.ceil(4 * cores / k), rows // 512))
 
     def part(text: str, parts: int) -> Column:
         return F.pmod(F.xxhash64(text), F.lit(parts)).cast("int")
@@ -149,7 +411,9 @@ def candidates(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFra
     tasks = max(1, min(n * k, 16 * cores))
     left, right = (df.repartition(tasks, "a", "b") for df in (left, right))
     met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
-    return met.applyInArrow(_alike(cutoff), "name string, company_key string")
+    # As rows, so that pairs leave a task as they are found.
+    together = met.applyInArrow(_together, "names array<string>, keys array<string>")
+    return together.mapInArrow(_alike(cutoff), "name string, company_key string")
 
 
 def best_similar(names: DataFrame, dimension: DataFrame, cutoff: float) -> DataFrame:
