@@ -27,7 +27,7 @@ CUTOFF = 0.75
 BROADCAST_BYTES = 64 << 20
 # Names of a part, of keys twice as many; texts of which all pairs are compared
 # together; so many pairs of a part are compared without picks.
-PART, BLOCK, FEW_PAIRS = 1 << 18, 8192, 1 << 24
+PART, BLOCK, FEW_PAIRS = 1 << 17, 8192, 1 << 24
 # Buckets and repeats of the letters that are counted, and bits for the letter
 # pairs of a text.
 LETTERS, REPEATS, PAIR_BITS = 32, 4, 1024
@@ -35,7 +35,7 @@ LETTERS, REPEATS, PAIR_BITS = 32, 4, 1024
 PAIR_COST, PICK_COST, HIT_COST = 38.0, 80.0, 40.0
 # Most picks of a text, picks held of names and of keys, hits looked at
 # together, and low bits of a pick that number its row.
-PICKS, NAME_PICKS, KEY_PICKS, HITS, ROW_BITS = 1 << 15, 1 << 22, 10 << 20, 1 << 20, 20
+PICKS, NAME_PICKS, KEY_PICKS, HITS, ROW_BITS = 1 << 15, 1 << 20, 10 << 20, 1 << 19, 20
 # A name is hot when it has more than this share of all rows: so there are at
 # most as many hot names as the share goes into one, whatever the data.
 HOT_SHARE = 1 / 1000
@@ -173,6 +173,16 @@ def _pieces(n: int, k: int, common: int, names: int, keys: int, alike: float) ->
     return best
 
 
+def _sums(weighed: list[list[np.ndarray]], at: int, first: int, so_far: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The sum of each choice of one column for every weight, in order, from the weight ``at`` and the column ``first`` on."""
+    for c in range(first, len(weighed[at]) - len(weighed) + at + 1):
+        part = weighed[at][c] if so_far is None else so_far + weighed[at][c]
+        if at + 1 == len(weighed):
+            yield part
+        else:
+            yield from _sums(weighed, at + 1, c + 1, part)
+
+
 def _picks(letters: np.ndarray, size: int) -> np.ndarray:
     """Every choice of ``size`` letters of each row, in order: a hash above the number of the row."""
     width = letters.shape[1]
@@ -184,16 +194,7 @@ def _picks(letters: np.ndarray, size: int) -> np.ndarray:
         columns = np.ascontiguousarray(letters[top : top + step].T).astype(np.uint64) + np.uint64(1)
         weighed = [[column * w for column in columns] for w in weights]
         row = np.arange(top, top + columns.shape[1], dtype=np.uint64)
-
-        def grow(at: int, column: int, sum_: np.ndarray | None):
-            for c in range(column, width - size + at + 1):
-                part = weighed[at][c] if sum_ is None else sum_ + weighed[at][c]
-                if at + 1 == size:
-                    yield part
-                else:
-                    yield from grow(at + 1, c + 1, part)
-
-        for number, hashed in enumerate(grow(0, 0, None)):
+        for number, hashed in enumerate(_sums(weighed, 0, 0, None)):
             out[number, top : top + len(row)] = (hashed & ~low) | row
     return out.reshape(-1)
 
@@ -212,7 +213,7 @@ class _KeyPicks:
         picks = _each_once(_picks(letters, size))
         self.row = (picks & np.uint64((1 << ROW_BITS) - 1)).astype(np.int32)
         # Most picks of names are no picks of keys, which a few bits of them tell.
-        self.shift = np.uint64(64 - min(26, max(10, 2 + len(picks).bit_length())))
+        self.shift = np.uint64(64 - min(24, max(10, 2 + len(picks).bit_length())))
         picks >>= np.uint64(ROW_BITS)
         start = np.flatnonzero(np.r_[True, picks[1:] != picks[:-1]])
         self.hashed = picks[start]
